@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP1_SQL, op1_chat_format
 from .mixing import OP7_SQL, op7_mix_sources
+from .shards import op10_kd_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op7_mix_sources": op7_mix_sources,
+    "op10_kd_shards": op10_kd_shards,
 }
 
 ORACLES: dict[str, str] = {
