@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP1_SQL, op1_chat_format
 from .mixing import OP7_SQL, op7_mix_sources
+from .quality import op4_quality
 from .shards import op10_kd_shards
 from .tokens import op2_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_counts": op2_token_counts,
+    "op4_quality": op4_quality,
     "op7_mix_sources": op7_mix_sources,
     "op10_kd_shards": op10_kd_shards,
 }
