@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP1_SQL, op1_chat_format
 from .decontam import op9_decontaminate
+from .media import op8_media_columns
 from .mixing import OP7_SQL, op7_mix_sources
 from .quality import op4_quality
 from .shards import op10_kd_shards
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op4_quality": op4_quality,
     "op7_mix_sources": op7_mix_sources,
+    "op8_media_columns": op8_media_columns,
     "op9_decontaminate": op9_decontaminate,
     "op10_kd_shards": op10_kd_shards,
 }
