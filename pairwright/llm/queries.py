@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP1_SQL, op1_chat_format
 from .decontam import op9_decontaminate
+from .html_text import op3_html_text
 from .media import op8_media_columns
 from .mixing import OP7_SQL, op7_mix_sources
 from .quality import op4_quality
@@ -17,6 +18,7 @@ from .tokens import op2_token_counts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_token_counts": op2_token_counts,
+    "op3_html_text": op3_html_text,
     "op4_quality": op4_quality,
     "op7_mix_sources": op7_mix_sources,
     "op8_media_columns": op8_media_columns,
