@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import OP1_SQL, op1_chat_format
 from .decontam import op9_decontaminate
 from .html_text import op3_html_text
+from .jaccard import op5_ngram_jaccard
 from .media import op8_media_columns
 from .mixing import OP7_SQL, op7_mix_sources
 from .quality import op4_quality
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_html_text": op3_html_text,
     "op4_quality": op4_quality,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op7_mix_sources": op7_mix_sources,
     "op8_media_columns": op8_media_columns,
     "op9_decontaminate": op9_decontaminate,
