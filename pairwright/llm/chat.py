@@ -50,24 +50,25 @@ def unescape_role(role: Column) -> Column:
 def root_paths(nodes: DataFrame) -> DataFrame:
     """(tree, leaf, path): for every leaf the nodes from its root down to it.
 
-    `nodes` has tree, node, parent. Each round joins every unfinished segment with the segment of its upper end, so
-    segments double in length; rows stay one per node. Segments hold node ids only.
+    `nodes` has tree, node, parent. Each round joins the segments that have not reached a root with the segment of
+    their upper end, so these double in length; finished ones are set aside and joined with only from above. Segments
+    hold node ids only.
     """
     up = nodes.select("tree", F.col("node").alias("parent")).distinct()
     known = nodes.join(up, ["tree", "parent"], "left_semi").select("tree", "node", "parent")
     roots = nodes.join(up, ["tree", "parent"], "left_anti").select("tree", "node")
-    segments = known.select("tree", "node", F.col("parent").alias("top"), F.array("node").alias("path")).unionByName(roots.select("tree", "node", F.lit(None).cast("long").alias("top"), F.array("node").alias("path")))
-    segments = materialize(segments, "chat-segments")
-    longest = 0
-    while True:
-        state = segments.agg(F.count("top").alias("open"), F.max(F.size("path")).alias("length")).first()
-        if not state["open"] or state["length"] <= longest:  # what no longer grows is a cycle
+    done = materialize(roots.select("tree", "node", F.lit(None).cast("long").alias("top"), F.array("node").alias("path")), "chat-roots")
+    going = materialize(known.select("tree", "node", F.col("parent").alias("top"), F.array("node").alias("path")), "chat-segments")
+    left = going.count()
+    while left:
+        upper = done.unionByName(going).select("tree", F.col("node").alias("top"), F.col("top").alias("_top"), F.col("path").alias("_path"))
+        joined = materialize(going.join(upper, ["tree", "top"]).select("tree", "node", F.col("_top").alias("top"), F.concat("_path", "path").alias("path")), "chat-segments")
+        done, going = done.unionByName(joined.filter("top IS NULL")), joined.filter("top IS NOT NULL")
+        before, left = left, going.count()
+        if left == before:  # each round ends some paths, unless only cycles are left
             break
-        longest = state["length"]
-        upper = segments.select("tree", F.col("node").alias("top"), F.col("top").alias("_top"), F.col("path").alias("_path"))
-        segments = materialize(segments.join(upper, ["tree", "top"], "left").select("tree", "node", F.col("_top").alias("top"), F.when(F.col("top").isNull(), F.col("path")).otherwise(F.concat("_path", "path")).alias("path")), "chat-segments")
     parents = known.select("tree", F.col("parent").alias("node")).distinct()
-    return segments.filter("top IS NULL").join(parents, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "path")
+    return done.join(parents, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "path")
 
 
 def rank_branches(paths: DataFrame, messages: DataFrame, best: int | None = None) -> DataFrame:
