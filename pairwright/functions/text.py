@@ -7,6 +7,7 @@ spelled out. `fold` is exact for all but the rare letters whose full case foldin
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,8 +37,6 @@ def fold(c: Column) -> Column:
 
 def exact_fold(c: Column) -> Column:
     """Full case folding by an Arrow UDF."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def folded(s: pd.Series) -> pd.Series:
         return s.fillna("").str.casefold()

@@ -1,0 +1,142 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from pairwright.functions.checks import InputError
+from pairwright.operators import audits
+from pairwright.operators.candidates import enrich, validate
+from pairwright.sources.candidates import CandidateFile, read_candidates
+from pairwright.sources.jsonl import read_jsonl, read_pairs
+from pairwright.sources.records import IntegrityError, check_fingerprints, fingerprints, read_source
+from pairwright.sources.truth import read_split, read_truth
+
+GOOD = ["source1_entity_id\tcandidate_entity_ids\tblock", "S1-001\tS2-001,S3-002\tb1", "", "S1-002\t\tb2", "S1-003\t   ", "S1-001\tS3-001"]
+
+
+def test_expansion_keeps_order_and_skips_blank_lines(spark):
+    rows = read_candidates(spark, GOOD).orderBy("source1_row_index", "candidate_rank").collect()
+    assert [(r.pair_id, r.candidate_source, r.source1_row_index, r.candidate_rank, r.block) for r in rows] == [
+        ("S1-001::S2-001", "source2", 0, 0, "b1"), ("S1-001::S3-002", "source3", 0, 1, "b1"), ("S1-001::S3-001", "source3", 3, 0, None)]
+
+
+def test_file_and_content_give_the_same(spark, tmp_path):
+    (tmp_path / "c.tsv").write_text("\n".join(GOOD))
+    key = ["source1_row_index", "candidate_rank"]
+    assert read_candidates(spark, str(tmp_path / "c.tsv")).orderBy(key).collect() == read_candidates(spark, "\n".join(GOOD)).orderBy(key).collect()
+
+
+def test_many_splits_keep_the_order(spark, tmp_path):
+    lines = [f"S1-{i}\tS2-{i},S3-{i}" for i in range(3000)]
+    (tmp_path / "big.tsv").write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = CandidateFile.read(spark, str(tmp_path / "big.tsv")).rows.orderBy("source1_row_index").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.source1_entity_id for r in rows] == [f"S1-{i}" for i in range(3000)]
+    assert [r.source1_row_index for r in rows] == list(range(3000))
+
+
+def test_coverage(spark):
+    lines = ["S1-001\tS2-001", "S1-002\t", "S1-003\t   ", "S1-004\tS3-001"]
+    covered = audits.coverage(CandidateFile.read(spark, lines).rows)
+    assert [(r.source1_entity_id, r.candidate_count) for r in covered.orderBy("first_row_index").collect()] == [("S1-001", 1), ("S1-002", 0), ("S1-003", 0), ("S1-004", 1)]
+    assert audits.empty_entries(covered).count() == 2
+    assert list(audits.coverage_totals(covered).first()) == [4, 2, 2, 2]
+
+
+@pytest.mark.parametrize(("line", "message"), [
+    ("S1-001", "expected at least 2"), ("S1-001 S2-001", "expected at least 2"), ("S2-001\tS2-001", "S1-prefixed"), ("001\tS2-001", "S1-prefixed"),
+    ("S1-\tS2-001", "S1-prefixed"), (" S1-001\tS2-001", "S1-prefixed"), ("S1-001\tS1-002", "S2- or S3-prefixed"), ("S1-001\tS4-001", "S2- or S3-prefixed"),
+    ("S1-001\t001", "S2- or S3-prefixed"), ("S1-001\tS2-", "empty identifier body"), ("S1-001\tS3-", "empty identifier body"), ("S1-001\tS2-001,,S3-001", "empty token"),
+    ("S1-001\tS2-001,", "empty token"), ("S1-001\t,S2-001", "empty token"), ("S1-001\t S2-001", "whitespace"), ("S1-001\tS2-001,S2-001", "line 1: duplicate"),
+])
+def test_malformed_lines(spark, line, message):
+    with pytest.raises(InputError, match=message):
+        read_candidates(spark, [line])
+
+
+def test_duplicate_names_the_later_line_and_the_first_violation_wins(spark):
+    with pytest.raises(InputError, match="line 3: duplicate"):
+        read_candidates(spark, ["S1-1\tS2-1", "S1-2\tS2-1", "S1-1\tS2-1", "bad"])
+    with pytest.raises(InputError, match="line 2"):
+        read_candidates(spark, ["S1-1\tS2-1", "bad", "S1-1\tS2-1"])
+
+
+def test_reserved_extra_columns(spark):
+    with pytest.raises(ValueError, match="Reserved"):
+        read_candidates(spark, ["source1_entity_id\tcandidate_entity_ids\tlabel", "S1-1\tS2-1\t1"])
+
+
+def test_truth(spark):
+    cells = ["S2-1,S3-2", '"[""S2-1"", ""S3-2""]"', "['S2-1', 'S3-2']", "[]", "null", "None", ""]
+    lines = ["source1_entity_id\tmatched_entity_ids"] + [f"S1-{i}\t{c}" for i, c in enumerate(cells)]
+    got = {r.source1_entity_id: sorted(r.matched) for r in read_truth(spark, lines).collect()}
+    assert got == {f"S1-{i}": ["S2-1", "S3-2"] if i < 3 else [] for i in range(7)}
+
+
+@pytest.mark.parametrize(("lines", "message"), [
+    (["source1_entity_id\tmatched_entity_ids", "S1-1\tS2-1", "S1-1\t"], "Duplicate"), (["source1_entity_id\tmatched_entity_ids", "S1-1\tS4-1"], "Unrecognized"),
+    (["source1_entity_id\tmatched_entity_ids", "S1-1"], "expected 2 columns"), (["source1_entity_id\tmatched_entity_ids", "X-1\t"], "invalid S1"), (["a\tb", "S1-1\t"], "header"),
+    (["source1_entity_id\tmatched_entity_ids", "", "S1-1\t"], "expected 2 columns"),
+])
+def test_bad_truth(spark, lines, message):
+    with pytest.raises(ValueError, match=message):
+        read_truth(spark, lines)
+
+
+def test_splits(spark, tmp_path):
+    want = {("S1-1", "train"), ("S1-2", "validation")}
+    as_dict = {"train_source1_entity_ids": ["S1-1"], "validation_source1_entity_ids": ["S1-2"]}
+    (tmp_path / "s.json").write_text(json.dumps(as_dict))
+    for source in (as_dict, str(tmp_path / "s.json"), ["SPLIT\tSource1_Entity_ID", " Train\tS1-1", "validation\tS1-2 "]):
+        assert {tuple(r) for r in read_split(spark, source).collect()} == want
+    with pytest.raises(ValueError, match="twice"):
+        read_split(spark, {"train_source1_entity_ids": ["S1-1"], "validation_source1_entity_ids": ["S1-1"]})
+    with pytest.raises(ValueError, match="invalid split"):
+        read_split(spark, ["source1_entity_id\tsplit", "S1-1\ttest"])
+
+
+def pair(**changes):
+    record = {"name": "a", "address": None, "postal_code": None, "country": "x"}
+    return json.dumps({"pair_id": "p", "source1_id": "s", "source2_id": "t", "source1": record, "source2": record, "label": 1} | changes)
+
+
+def test_pairs(spark):
+    row = read_pairs(spark, ["", pair(), pair(pair_id="q", label=None, split="train")]).orderBy("row_index").collect()
+    assert [(r.pair_id, r.label, r.split, r.source1.name) for r in row] == [("p", 1, None, "a"), ("q", None, "train", "a")]
+
+
+@pytest.mark.parametrize(("line", "message"), [
+    ("[1]", "JSON object"), ("{", "JSON object"), (pair(extra=1), "unknown key"), (pair(label=True), "Labels"), (pair(label=1.5), "Labels"), (pair(label="1"), "Labels"),
+    (pair(pair_id=" "), "nonempty"), (pair(source1=3), "mappings"), (pair(source1={"name": 5}), "strings or None"), (pair(split="test"), "split"),
+])
+def test_bad_pairs(spark, line, message):
+    with pytest.raises(InputError, match=f"line 2.*{message}|{message}"):
+        read_pairs(spark, [pair(), line]) if line.startswith("{") and message != "JSON object" else read_jsonl(spark, [pair(), line])
+
+
+def test_enrich_and_validate(spark):
+    rows = spark.createDataFrame([(0, "S1-1", "S2-1", "k"), (1, "S1-1", "S3-1", None)], "row_index long, source1_entity_id string, candidate_entity_id string, blocking_key string")
+    got = validate(enrich(rows)).orderBy("row_index").collect()
+    assert [(r.pair_id, r.candidate_source, r.blocking_key) for r in got] == [("S1-1::S2-1", "source2", "k"), ("S1-1::S3-1", "source3", None)]
+    for change, message in ((F.lit("source3"), "fit source3"), (F.lit("other"), "source2 or source3")):
+        with pytest.raises(InputError, match=message):
+            validate(enrich(rows.withColumn("candidate_source", change)))
+    with pytest.raises(InputError, match="row 1: duplicate edge"):
+        validate(enrich(rows.withColumn("candidate_entity_id", F.lit("S2-1")).withColumn("pair_id", F.col("row_index").cast("string"))))
+
+
+def test_source_tables_and_fingerprints(spark, tmp_path):
+    from pairwright.sources.records import COLUMNS
+
+    path = tmp_path / "s1.tsv"
+    path.write_text("\t".join(COLUMNS) + "\n" + "\t".join(["S1-1", "A", "", "", "alpha", "[]", "", "[]", "", "1 2", ""]) + "\n")
+    row = read_source(spark, path).first()
+    assert (row["entity_id"], row["business_name_normalized"], row["postal_codes"]) == ("S1-1", "alpha", "1 2")
+    manifest = spark.createDataFrame(fingerprints(spark, path).collect())
+    check_fingerprints(spark, path, manifest)
+    path.write_text("changed")
+    with pytest.raises(IntegrityError):
+        check_fingerprints(spark, path, manifest)
