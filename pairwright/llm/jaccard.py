@@ -8,10 +8,13 @@
 3. Groups that share a prefix shingle are listed by size. Two linked texts differ in size by a tenth at most, and so do
    all neighbours between them, so joining neighbours whose sizes allow a link keeps every possible link within one
    candidate component, at one edge a row: no list is ever paired out.
-4. Groups are expanded to their classes, sets are computed again for those alone, and each component is verified
-   exactly, in blocks of BLOCK classes by size, so a component of any size is dealt over many bounded tasks. Each set
-   travels once per block pair; what leaves a task is one edge and one link count a class at most.
-5. Components of the verified links are found by large-star and small-star rounds.
+4. Groups are expanded to their classes and each component is filtered in blocks of BLOCK classes by size, so that a
+   component of any size is dealt over many bounded tasks. Pairs are compared by parity bitmaps of about one bit a
+   shingle: where more bits differ than two linked sets can differ in, there is no link. What passes forms smaller
+   components.
+5. Sets are computed again for the classes that are left alone, and verified exactly in blocks of the same kind. Each
+   set travels once per block pair; what leaves a task is one edge and one link count a class at most.
+6. Components of the verified links are found by large-star and small-star rounds.
 
 Sets are of 64-bit digests of shingles; n_shingles and links are exact up to collisions of those.
 
@@ -131,12 +134,18 @@ def _levels(words: list[bytes], table_: tuple[np.ndarray, np.ndarray]) -> np.nda
     return np.where(hashes[at] == h, levels[at], 0).astype(np.uint8)
 
 
-def prefix_of(words: list[bytes], table_: tuple[np.ndarray, np.ndarray], percent: int = PERCENT, k: int = WORDS) -> tuple[int, int, np.ndarray]:
-    """Size of the set, its digest, and the prefix's shingles, sorted."""
+def parity_bitmap(s: np.ndarray) -> bytes:
+    """One bit for each residue of the digests, set where an odd number of them has it; 64 bits or a power of two from n on."""
+    bits = max(64, 1 << (len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def prefix_of(words: list[bytes], table_: tuple[np.ndarray, np.ndarray], percent: int = PERCENT, k: int = WORDS) -> tuple[int, int, np.ndarray, bytes]:
+    """Size of the set, its digest, the prefix's shingles, sorted, and the set's bitmap."""
     s, first = shingle_set(words, k)
     n = len(s)
     if not n:
-        return 0, 0, s
+        return 0, 0, s, b""
     import xxhash
 
     level = _levels(words, table_)
@@ -146,12 +155,11 @@ def prefix_of(words: list[bytes], table_: tuple[np.ndarray, np.ndarray], percent
     key = (rank[first].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
     p = prefix_length(n, percent)
     chosen = np.argpartition(key, p - 1)[:p] if p < n else np.arange(n)
-    return n, xxhash.xxh3_64_intdigest(s.tobytes(), seed=n), np.sort(s[chosen])
+    return n, xxhash.xxh3_64_intdigest(s.tobytes(), seed=n), np.sort(s[chosen]), parity_bitmap(s)
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
-    """(doc_id, n, digest, prefix_digest, prefix) of every document."""
-    kind = dict(docs.dtypes)["doc_id"]
+    """(doc_id, n, digest, prefix_digest, prefix, bitmap) of every document."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_words(docs))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,9 +169,9 @@ def signatures(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataF
             found = [prefix_of(words_of(t.as_py()), sent.value, percent, k) for t in b.column(1)]
             signed = lambda values: pa.array(np.array(values, np.uint64).view(np.int64))
             prefixes = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(f[2]) for f in found]), pa.int32()), pa.array(np.concatenate([f[2] for f in found] or [np.zeros(0, np.uint64)]).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[0] for f in found], pa.int64()), signed([f[1] for f in found]), signed([xxhash.xxh3_64_intdigest(f[2].tobytes()) for f in found]), prefixes], names=["doc_id", "n", "digest", "prefix_digest", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[0] for f in found], pa.int64()), signed([f[1] for f in found]), signed([xxhash.xxh3_64_intdigest(f[2].tobytes()) for f in found]), prefixes, pa.array([f[3] for f in found], pa.binary())], names=["doc_id", "n", "digest", "prefix_digest", "prefix", "bitmap"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n long, digest long, prefix_digest long, prefix array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, "doc_id long, n long, digest long, prefix_digest long, prefix array<long>, bitmap binary")
 
 
 def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -197,7 +205,7 @@ def candidate_groups(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = groups.select("group", "n", F.explode("prefix").alias("shingle"))
     listed = Window.partitionBy("shingle").orderBy("n", "group")
     pairs = rows.select(F.col("group").alias("a"), "n", F.lead("group").over(listed).alias("b"), F.lead("n").over(listed).alias("n2"))
-    return pairs.filter(f"b IS NOT NULL AND 100 * n >= {percent} * n2").select("a", "b").distinct()
+    return pairs.filter(f"b IS NOT NULL AND 100 * n >= {percent} * n2").select("a", "b")
 
 
 def verify_block(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int, int, np.ndarray]] | None, percent: int) -> tuple[dict[int, int], dict[int, int]]:
@@ -249,57 +257,136 @@ def verify_block(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int,
     return {members[x][0]: low[find(x)] for x in range(m) if links[x]}, {members[x][0]: int(links[x]) for x in range(m) if links[x]}
 
 
-def verified(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
-    """(class, low, links) of every class with a link, a row for each task that finds one; classes: class, docs, n, component."""
-    spark = docs.sparkSession
+def near_bitmaps(left: list[tuple[int, int, bytes]], right: list[tuple[int, int, bytes]] | None, percent: int) -> dict[int, int]:
+    """The smallest class that each one may be connected with, for members (class, n, bitmap) with a possible link.
+
+    A bitmap twice as long as another is folded to its length before they are compared.
+    """
+    members = left + (right or [])
+    m, cut = len(members), len(left)
+    n = np.array([x[1] for x in members], np.int64)
+    bits = np.array([len(x[2]) * 8 for x in members])
+    root = list(range(m))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    hit_any = np.zeros(m, bool)
+    for level in np.unique(bits).tolist():
+        at = np.flatnonzero((bits == level) | (bits == 2 * level))
+        rows = np.zeros((len(at), level // 64), np.uint64)
+        for r, x in enumerate(at.tolist()):
+            w = np.frombuffer(members[x][2], np.uint64)
+            rows[r] = w if bits[x] == level else w[: level // 64] ^ w[level // 64 :]
+        own, mine = bits[at] == level, at < cut
+        for r in range(len(at) - 1):
+            if right is not None and not mine[r]:
+                break
+            others = np.arange(r + 1, len(at)) if right is None else np.flatnonzero(~mine)
+            if not own[r]:
+                others = others[own[others]]
+            differ = np.bitwise_count(rows[others] ^ rows[r]).sum(axis=1, dtype=np.int64)
+            hits = at[others[(100 + percent) * differ <= (100 - percent) * (n[at[r]] + n[at[others]])]]
+            if len(hits):
+                hit_any[at[r]] = True
+                hit_any[hits] = True
+                a = find(int(at[r]))
+                for y in hits.tolist():
+                    b = find(y)
+                    if a != b:
+                        root[max(a, b)], a = min(a, b), min(a, b)
+    low: dict[int, int] = {}
+    for x in range(m):
+        r = find(x)
+        low[r] = min(low.get(r, members[x][0]), members[x][0])
+    return {members[x][0]: low[find(x)] for x in np.flatnonzero(hit_any).tolist()}
+
+
+def place(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(component, i, j, side, class, docs, n): each class in every pair of blocks of its component that may hold a link of it.
+
+    classes: class, docs, n, component. Blocks hold BLOCK classes in order of size.
+    """
     ordered = Window.partitionBy("component").orderBy("n", "class")
     held = classes.withColumn("block", F.floor((F.row_number().over(ordered) - 1) / BLOCK).cast("int"))
     held = materialize(held.select("class", "docs", "n", "component", "block"), "jaccard-classes")
     blocks = held.groupBy("component", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    other = blocks.select(F.col("component").alias("c"), F.col("block").alias("other"), F.col("low").alias("low2"))
-    pairs = blocks.join(other, (F.col("component") == F.col("c")) & (F.col("other") >= F.col("block")) & (100 * F.col("high") >= percent * F.col("low2"))).select("component", "block", "other")
-    tasks = pairs.select("component", "block", F.col("block").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side")).unionByName(pairs.filter("block <> other").select("component", F.col("other").alias("block"), F.col("block").alias("i"), F.col("other").alias("j"), F.lit(1).alias("side")))
-    chosen = held.select(F.col("class").alias("doc_id"))
-    n_chosen = chosen.count()
-    texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen) if n_chosen <= MOST_BROADCAST else chosen, "doc_id", "left_semi")
+    many = blocks.filter("block > 0").select("component").distinct()
+    some = blocks.join(many, "component", "left_semi")
+    other = some.select(F.col("component").alias("c"), F.col("block").alias("other"), F.col("low").alias("low2"))
+    pairs = some.join(other, (F.col("component") == F.col("c")) & (F.col("other") > F.col("block")) & (100 * F.col("high") >= percent * F.col("low2"))).select("component", F.col("block").alias("i"), F.col("other").alias("j"))
+    shared = pairs.select("component", F.col("i").alias("block"), "i", "j", F.lit(0).alias("side")).unionByName(pairs.select("component", F.col("j").alias("block"), "i", "j", F.lit(1).alias("side")))
+    alone = held.select("component", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side"), "class", "docs", "n")
+    return alone.unionByName(held.join(shared, ["component", "block"]).select(alone.columns))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [shingle_set(words_of(t.as_py()), k)[0].tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["class", "set"])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    whole = texts.mapInArrow(sets, f"class {kind}, set binary")
-    dealt = held.join(whole, "class").join(tasks, ["component", "block"]).select("component", "i", "j", "side", "class", "docs", "n", "set")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def by_block(dealt: DataFrame, column: str, task, names: list[str], schema: str) -> DataFrame:
+    """Run `task(left, right)` over the members (class, docs, n, `column`) of each pair of blocks; right is None for one block.
+
+    Rows come sorted by task, so a worker holds two blocks at a time.
+    """
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.select("component", "i", "j", "side", "class", "docs", "n", column)
     dealt = dealt.repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j", "side", "class")
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, sides = None, ([], [])
 
         def close() -> Iterator[pa.RecordBatch]:
-            if key is None or len(sides[0]) + len(sides[1]) < 2:
-                return
-            left, right = (sides[0], None) if key[1] == key[2] else sides
-            if not left or right == []:
+            one = key is not None and key[1] == key[2]
+            if len(sides[0]) < 1 + one or not one and not sides[1]:
                 return
-            low, links = verify_block(left, right, percent)
-            if low:
-                rows = sorted(low)
-                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array([low[x] for x in rows]), pa.array([links[x] for x in rows], pa.int64())], names=["class", "low", "links"])
+            rows = task(sides[0], None if one else sides[1])
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
 
         for b in batches:
-            cols = [c.to_pylist() for c in (b.column(i) for i in range(6))]
-            for r, (component, i, j, side, of, docs_) in enumerate(zip(*cols, strict=True)):
+            cols = [c.to_pylist() for c in b.columns]
+            for component, i, j, side, of, docs, n, value in zip(*cols, strict=True):
                 if (component, i, j) != key:
                     yield from close()
                     key, sides = (component, i, j), ([], [])
                 part = sides[side]
                 if not part or part[-1][0] != of:  # rows that share a class's id come from repeated rows
-                    part.append((of, docs_, np.frombuffer(b.column(7)[r].as_py(), np.uint64)))
+                    part.append((of, docs, n, value))
         yield from close()
 
-    return dealt.mapInArrow(verify, f"class {kind}, low {kind}, links long")
+    return dealt.mapInArrow(run, schema)
+
+
+def filtered(classes: DataFrame, bitmaps: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(class, low): edges of the components that bitmaps leave; classes: class, docs, n, component; bitmaps: class, bitmap."""
+
+    def task(left: list, right: list | None) -> list:
+        short = lambda part: [(m[0], m[2], m[3]) for m in part]
+        return sorted(near_bitmaps(short(left), None if right is None else short(right), percent).items())
+
+    return by_block(place(classes, percent).join(bitmaps, "class"), "bitmap", task, ["class", "low"], "class long, low long")
+
+
+def verified(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
+    """(class, low, links) of every class with a link, a row for each task that finds one; classes: class, docs, n, component."""
+    placed = materialize(place(classes, percent), "jaccard-placed")
+    few = placed.count() <= MOST_BROADCAST
+    texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("class"), "text")
+    dealt = texts.join(F.broadcast(placed) if few else placed, "class")
+    names = ["component", "i", "j", "side", "class", "docs", "n"]
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingle_set(words_of(t.as_py()), k)[0].tobytes() for t in b.column(len(names))]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(found, pa.binary())], names=[*names, "set"])
+
+    def task(left: list, right: list | None) -> list:
+        whole = lambda part: [(m[0], m[1], np.frombuffer(m[3], np.uint64)) for m in part]
+        low, links = verify_block(whole(left), None if right is None else whole(right), percent)
+        return [(x, low[x], links[x]) for x in sorted(low)]
+
+    whole = dealt.select(*names, "text").mapInArrow(sets, "component long, i int, j int, side int, class long, docs long, n long, set binary")
+    return by_block(whole, "set", task, ["class", "low", "links"], "class long, low long, links long")
 
 
 def link(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
@@ -315,7 +402,10 @@ def link(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
     alone = named.groupBy("group").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(F.col("group").alias("node"), F.col("group").alias("component"))
     held = found.unionByName(alone.join(found, "node", "left_anti"))
     candidates = named.join(held.withColumnRenamed("node", "group"), "group").select("class", "docs", "n", "component")
-    proof = materialize(verified(candidates, docs, percent, k), "jaccard-links")
+    bitmaps = some.select(F.col("doc_id").alias("class"), "n", "digest", "bitmap").join(classes.select("class", "n", "digest"), ["class", "n", "digest"], "left_semi").select("class", "bitmap")
+    possible = star_components(filtered(candidates, bitmaps, percent).select(F.col("class").alias("a"), F.col("low").alias("b")))
+    left = classes.join(possible.withColumnRenamed("node", "class"), "class").select("class", "docs", "n", "component")
+    proof = materialize(verified(left, docs, percent, k), "jaccard-links")
     joined = star_components(proof.select(F.col("class").alias("a"), F.col("low").alias("b"))).select(F.col("node").alias("class"), F.col("component").alias("_component"))
     links = proof.groupBy("class").agg(F.sum("links").alias("_links"))
     result = classes.join(joined, "class", "left").join(links, "class", "left")
