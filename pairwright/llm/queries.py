@@ -10,6 +10,7 @@ from .chat import OP1_SQL, op1_chat_format
 from .decontam import op9_decontaminate
 from .html_text import op3_html_text
 from .jaccard import op5_ngram_jaccard
+from .licenses import op6_license_scan
 from .media import op8_media_columns
 from .mixing import OP7_SQL, op7_mix_sources
 from .quality import op4_quality
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_text": op3_html_text,
     "op4_quality": op4_quality,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_license_scan": op6_license_scan,
     "op7_mix_sources": op7_mix_sources,
     "op8_media_columns": op8_media_columns,
     "op9_decontaminate": op9_decontaminate,
