@@ -31,7 +31,7 @@ from .util import materialize, table
 
 THRESHOLD = 0.75
 #: Words too common to tell licences apart; left out on both sides.
-STOP = set("a an and any are as at be for in is it of on or other that the this to with you your".split())
+STOP = set("a an and any are as at be by for in is it of on or other that the this to with you your".split())
 WINDOWS = (1, 2, 4, 8, 16)
 #: Notices as their licences ask for them.
 TEMPLATES = {
@@ -87,41 +87,37 @@ class Matcher:
         return not self.needed.isdisjoint(terms_of(passage))
 
     def best(self, passage: str) -> tuple[float, int]:
-        """Score and number of the nearest template; the first of equals."""
+        """Score and number of the nearest template, the first of equals; 0 and -1 where no term is shared."""
         v = self.vector(Counter(terms_of(passage)))
         sums: dict[int, float] = {}
         for w, x in v.items():
             for k in self.lists.get(w, ()):
                 sums[k] = sums.get(k, 0.0) + x * self.vectors[k][w]
-        return max(((round(s, 9), -k) for k, s in sums.items()), default=(0.0, 1))
+        k = min(sums, key=lambda k: (-round(sums[k], 9), k), default=-1)
+        return (round(sums[k], 9), k) if k >= 0 else (0.0, -1)
 
     def scan(self, text: str | None) -> tuple[str | None, float, str | None]:
         """Licence, score and passage of the best passage of a text; nothing below the threshold."""
         low = (text or "").lower()
-        found = (self.threshold - 1e-9, 1, "")
         if not any(w in low for w in self.needed):
             return None, 0.0, None
         lines = text.split("\n")
         worth = [i for i, line in enumerate(lines) if self.may_match(line)]
         if not worth:
             return None, 0.0, None
-        seen = set()
-        for size in WINDOWS:
-            step = max(1, size // 2)
-            for i in worth:
-                for start in range(max(0, (i - size) // step + 1) * step, i + 1, step):
-                    if (start, size) not in seen and i < start + size:
-                        seen.add((start, size))
-                        found = self._better(found, "\n".join(lines[start : start + size]))
-                if size == 1:
-                    found = self._better(found, lines[i])
+        spans = {(i, 1) for i in worth}
+        for size in WINDOWS[1:]:
+            step = size // 2
+            spans |= {(start, size) for i in worth for start in (i // step * step, i // step * step - step) if start >= 0}
+        passages = ["\n".join(lines[start : start + size]) for start, size in sorted(spans)]
         if len(low) < 64 * self.longest:
-            found = self._better(found, text)
-        return (self.names[-found[1]], found[0], found[2]) if found[1] <= 0 else (None, 0.0, None)
-
-    def _better(self, found: tuple, passage: str) -> tuple:
-        score, k = self.best(passage)
-        return (score, k, passage) if k <= 0 and (score, k) > found[:2] else found if found[1] <= 0 or score < self.threshold else (score, k, passage)
+            passages.append(text)
+        found: tuple[float, int, str] | None = None
+        for p in passages:
+            score, k = self.best(p)
+            if score >= self.threshold and (found is None or (score, -k) > (found[0], -found[1])):
+                found = (score, k, p)
+        return (self.names[found[1]], found[0], found[2]) if found else (None, 0.0, None)
 
 
 def scan_files(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
