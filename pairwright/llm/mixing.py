@@ -98,7 +98,7 @@ targets AS (SELECT source, docs, source_size,
 rated AS (SELECT s.*, t.docs, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size::DOUBLE * 268435456)::BIGINT ELSE 0 END AS rate,
     ('0x' || substr(md5('mix:' || coalesce(s.source, '')), 1, 7))::BIGINT AS off,
-    floor(('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '')), 1, 4))::BIGINT * least(65536, ceil(t.docs / 50000)) / 65536)::BIGINT AS block
+    floor(('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '')), 1, 4))::BIGINT * least(65536, ceil(t.docs / 2000)) / 65536)::BIGINT AS block
     FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 placed AS (SELECT *, coalesce(sum(rate) OVER (PARTITION BY source ORDER BY block, size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + off AS start FROM rated),
 counted AS (SELECT *, ((start + rate) >> 28) - (start >> 28) AS copies FROM placed)

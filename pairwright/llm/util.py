@@ -68,7 +68,7 @@ def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return left.join(renamed, on, how).drop(*[f"_r_{c}" for c in keys])
 
 
-def running_total(df: DataFrame, group: list[str], spread: str, order: list[Column], value: Column, out: str, block_rows: int = 50_000) -> DataFrame:
+def running_total(df: DataFrame, group: list[str], spread: str, order: list[Column], value: Column, out: str, block_rows: int = 2_000) -> DataFrame:
     """Add `out`: the sum of `value` over the rows of the same group that come before this one.
 
     Rows of a group are dealt over hash blocks of about `block_rows` rows by `spread`, so that a group that holds
