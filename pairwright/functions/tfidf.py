@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,7 @@ class TfIdf:
         """Empty texts count as records; a vocabulary without n-grams is an error."""
         n = texts.count()
         vocabulary = document_frequencies(texts, column).withColumn("idf", F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1)
+        vocabulary = vocabulary.persist(StorageLevel.MEMORY_AND_DISK)  # read for every side and field; a lost part is made again
         if vocabulary.isEmpty():
             raise ValueError(f"The training records have no character n-grams in {column}.")
         return cls(vocabulary, n)
