@@ -27,3 +27,26 @@ def profile(pairs: DataFrame, records: DataFrame, ensemble: Ensemble, name=None,
         "features": run(featurize(pairs, records, name, address, True)),
         "score": run(score(pairs, records, ensemble, name, address)),
     }
+
+
+def pilot(candidates_lists: DataFrame, pairs: DataFrame, records: DataFrame, truth: DataFrame, model, out: str | None = None) -> dict:
+    """Audit and performance of one scoring run: entities, pairs, recall of the candidates, lookups that failed, pairs a second.
+
+    With `out` the scores are written as tab-separated text within the timed region.
+    """
+    from ..operators.audits import coverage, coverage_totals, recall
+    from ..operators.joins import join_violations
+    from ..sources.truth import truth_edges
+    from .scoring import write_score_table
+
+    totals = coverage_totals(coverage(candidates_lists)).first().asDict()
+    failed = join_violations(join_records(pairs, records)).count()
+    began = time.perf_counter()
+    scores = score(pairs, records, model.ensemble, model.name, model.address)
+    if out is None:
+        run(scores)
+    else:
+        write_score_table(scores, out)
+    seconds = time.perf_counter() - began
+    n = pairs.count()
+    return {"coverage": totals, "candidate_recall": recall(truth_edges(truth), pairs).first().asDict(), "failed_lookups": failed, "pairs": n, "seconds": round(seconds, 3), "pairs_per_second": round(n / seconds, 1)}
