@@ -47,12 +47,12 @@ class TfIdf:
     records: int
 
     @classmethod
-    def fit(cls, texts: DataFrame, column: str) -> TfIdf:
-        """Empty texts count as records; a vocabulary without n-grams is an error."""
-        n = texts.count()
+    def fit(cls, texts: DataFrame, column: str, records: int | None = None) -> TfIdf:
+        """Empty texts count as records; a vocabulary without n-grams is an error. `records` is their number where it is known."""
+        n = texts.count() if records is None else records
         vocabulary = document_frequencies(texts, column).withColumn("idf", F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1)
         vocabulary = vocabulary.persist(StorageLevel.MEMORY_AND_DISK)  # read for every side and field; a lost part is made again
-        if vocabulary.isEmpty():
+        if not vocabulary.count():  # fills the stored table
             raise ValueError(f"The training records have no character n-grams in {column}.")
         return cls(vocabulary, n)
 

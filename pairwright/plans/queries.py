@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,8 +96,11 @@ def _vocabularies(spark: SparkSession, sf_dir: str) -> tuple[TfIdf, TfIdf]:
     """Fitted on the records of training pairs alone, each record once."""
     p = views.pairs(spark, sf_dir).join(views.split(spark, sf_dir).filter("split = 'train'"), "source1_entity_id")
     ids = p.select(F.col("source1_entity_id").alias("entity_id")).union(p.select("candidate_entity_id")).distinct()
-    training = views.records(spark, sf_dir).join(ids, "entity_id", "left_semi")
-    return TfIdf.fit(training, "name"), TfIdf.fit(training, "address")
+    training = views.records(spark, sf_dir).join(ids, "entity_id", "left_semi").select("name", "address").persist(StorageLevel.MEMORY_AND_DISK)
+    n = training.count()
+    fitted = TfIdf.fit(training, "name", n), TfIdf.fit(training, "address", n)
+    training.unpersist()
+    return fitted
 
 
 def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
