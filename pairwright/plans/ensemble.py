@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -115,7 +114,3 @@ class Ensemble:
             walk(tree._java_obj.rootNode())
             trees.append(t)
         return cls(tuple(feature_names), trees, 2.0)
-
-
-def canonical(value: object) -> str:
-    return json.dumps(value, sort_keys=True)

@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.features import FEATURE_NAMES, feature_columns, pair_features, record_features, with_vectors
+from ..functions.features import FEATURE_NAMES, pair_features, record_features
 from ..functions.postal import code_set, normal_code
 from ..functions.text import blank_to_null, squeeze
 from ..functions.tfidf import TfIdf, document_frequencies, ngrams, prepared
@@ -501,12 +501,3 @@ def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _ml_pairs(spark, sf_dir).filter("source2_id LIKE 'S2-%'")
     result = train_classifier(pairs, TrainingConfig(num_boost_round=10), saved_split=views.split(spark, sf_dir))
     return result.validation_predictions.select("pair_id", "label", F.round("probability", PLACES).alias("probability"))
-
-
-def features_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten features that need no vocabulary, in code generation from scan to result."""
-    prepared_records = with_vectors(record_features(views.records(spark, sf_dir)), None, None)
-    packed = F.struct("f", "name_vector", "address_vector")
-    left = prepared_records.select(F.col("entity_id").alias("source1_entity_id"), packed.alias("left"))
-    right = prepared_records.select(F.col("entity_id").alias("candidate_entity_id"), packed.alias("right"))
-    return views.pairs(spark, sf_dir).join(left, "source1_entity_id").join(right, "candidate_entity_id").select("pair_id", *feature_columns())
