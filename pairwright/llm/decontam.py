@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import table
+from .util import lean_batches, table, without_ids
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, GRAM = 0.6, 0.5, 3
@@ -214,6 +214,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap, first_word): the verified leaks."""
     types, kind = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
     schema = f"doc_id {types}, item_id {kind}, score double, question_overlap double, answer_overlap double, first_word long"
+    lean_batches(docs.sparkSession)
     found = docs.sparkSession.createDataFrame([], schema)
     for k, index in enumerate(indexes(benchmark)):
         sent = docs.sparkSession.sparkContext.broadcast(index)
@@ -237,8 +238,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no test item was found; those without an id stay."""
-    leaked = find_leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, find_leaks(docs, benchmark))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

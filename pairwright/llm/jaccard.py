@@ -33,16 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .util import forget, materialize, table
+from .util import forget, lean_batches, materialize, table, without_ids
 
 WORDS, PERCENT = 3, 90
 FREQUENT_WORDS = 1 << 20
 #: A word counts as frequent from this many documents on; lossy counting forgets words seen once in so many entries.
-LEAST_DF, COUNTED_WORDS = 8, 400_000
+LEAST_DF, COUNTED_WORDS = 8, 250_000
 BLOCK = 1024
 #: So many ids are broadcast at most; more are joined by a shuffle.
 MOST_BROADCAST = 500_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 
 class WordHashes(dict):
@@ -391,6 +391,7 @@ def verified(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int
 
 def link(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links): one row per document."""
+    lean_batches(docs.sparkSession)
     signed = materialize(signatures(docs, percent, k), "jaccard-signatures")
     some = signed.filter("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("n", "digest", "prefix_digest").agg(F.min("doc_id").alias("class"), F.count(F.lit(1)).alias("docs"))
@@ -416,8 +417,7 @@ def link(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
 
 def keep_first(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
     """One document of each component, that of the smallest id, with its columns; rows without id stay."""
-    drop = link(docs, percent, k).filter("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, link(docs, percent, k).filter("doc_id <> component_id"))
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .util import materialize, table
+from .util import lean_batches, materialize, table
 
 THRESHOLD = 0.75
 #: Words too common to tell licences apart; left out on both sides.
@@ -122,6 +122,7 @@ class Matcher:
 
 def scan_files(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
     """The rows of `files` with own_license, own_score and passage; `files` has text."""
+    lean_batches(files.sparkSession)
     names = files.columns
     at = names.index("text")
     matcher: list[Matcher] = []

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .util import scratch, table
+from .util import lean_batches, scratch, table
 
 WIDTH = 192
 #: zlib's level; the same bytes come out for the same payload.
@@ -215,6 +215,7 @@ class MediaArchives(DataSource):
 def store_media(docs: DataFrame) -> DataFrame:
     """(key, media): every text stored as an image in archives and read back through the data source."""
     spark = docs.sparkSession
+    lean_batches(spark)
     path = scratch(spark, "media")
     write_archives(docs.select("doc_id", "text"), path).write.parquet(f"{path}/manifest")
     spark.dataSource.register(MediaArchives)

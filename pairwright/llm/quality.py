@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .util import table
+from .util import lean_batches, table
 
 FIT_ROWS = 20_000
 BINS, ROUNDS, DEPTH, RATE, LEAST_WEIGHT, SHRINK = 64, 60, 4, 0.2, 2.0, 1.0
@@ -152,6 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Fores
     """Fit on the labelled rows that aren't held out, at most `fit_rows` of them."""
     learn = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "quality")
     learn = learn.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "quality").limit(fit_rows)
+    lean_batches(docs.sparkSession)
     chosen = docs.select("doc_id", "text").join(F.broadcast(learn), "doc_id")  # at most fit_rows rows
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

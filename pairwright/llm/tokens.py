@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import table
+from .util import lean_batches, table
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -92,6 +92,7 @@ _workers: dict[str, WordLengths] = {}
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit): one row per document."""
     path = path or vocabulary_path()
+    lean_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(frequent_words(path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

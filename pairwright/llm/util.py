@@ -49,6 +49,23 @@ def forget(df: DataFrame) -> None:
         jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def lean_batches(spark: SparkSession, rows: int = 1024, size: str = "16m") -> None:
+    """Lower the session's Arrow batches to what a worker holds of texts at a time; smaller settings stay."""
+    held = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
+    if not 0 < held <= rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, most: int = 500_000) -> DataFrame:
+    """The rows of `docs` whose doc_id isn't in `ids`; rows without one stay.
+
+    Up to `most` ids are broadcast, so no text is shuffled; more are joined by a shuffle.
+    """
+    ids = materialize(ids.select("doc_id").filter("doc_id IS NOT NULL").distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= most else ids, "doc_id", "left_anti").select(*docs.columns)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
