@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import join_same, table
+from .util import lean_batches, materialize, table
 
 TAG = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*'|["'])*?)(?:>|$)""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -47,6 +47,8 @@ popup modal overlay toolbar pagination pager widget widgets masthead copyright d
 HEADERS = {"header", "site-header", "page-header", "siteheader", "pageheader", "top-header", "topbar", "top-bar"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 DEEPEST = 48
+#: So many winning paths are broadcast at most; more are joined by a shuffle, which splits hot hosts.
+MOST_HOSTS = 200_000
 
 
 class Page:
@@ -245,7 +247,10 @@ def extract_text(pages: DataFrame) -> DataFrame:
             text = pa.array((extract(h.as_py(), w.as_py()) for h, w in zip(b.column(2), b.column(3), strict=True)), pa.string(), size=b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), text], names=["page_id", "url", "text"])
 
-    return join_same(named, host_paths(named), ["host"], "left").select("page_id", "url", "html", "winner").mapInArrow(run, f"page_id {kind}, url string, text string")
+    lean_batches(pages.sparkSession)
+    winners = materialize(host_paths(named), "html-hosts")
+    few = winners.count() <= MOST_HOSTS
+    return named.join(F.broadcast(winners) if few else winners, "host", "left").select("page_id", "url", "html", "winner").mapInArrow(run, f"page_id {kind}, url string, text string")
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
