@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages, each written as Parquet and read again by the next.
 
 Quality: documents that the classifier rejects go. Near duplicates: one document of each component of the n-gram
-Jaccard join stays, the one with the smallest id. Decontamination: documents with a verified test item go. Mixing:
+Jaccard join stays, the one with the smallest id; texts are linked from a similarity of 0.8 of their five-word shingles
+on (op5 itself has its own values). Decontamination: documents with a verified test item go. Mixing:
 documents repeat, or go, as their source's target asks. Sharding: every row gets its shard and slot.
 """
 
@@ -16,13 +17,16 @@ from pairwright.llm.quality import keep_good
 from pairwright.llm.shards import assign, number
 from pairwright.llm.util import materialize, scratch, table
 
+#: What the near-duplicate stage links by: words of a shingle and percent of similarity.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_first(docs)
+    return keep_first(docs, percent=NEAR_PERCENT, k=NEAR_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

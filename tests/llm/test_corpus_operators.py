@@ -327,6 +327,27 @@ def test_pipeline_stages(spark):
     assert last.columns == [*columns, "shard", "slot"] and last.count() == docs.count()
 
 
+def test_near_duplicate_stage_links_five_words_at_80_percent(spark, near):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rows = near + [(r.doc_id + 10_000, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    cut = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or ""))
+    five = lambda w: frozenset(zip(*(w[i:] for i in range(5)), strict=False)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    sets, first = {i: five(cut(t)) for i, t in rows}, {i: i for i, _ in rows}
+    for _ in rows:  # the smallest id that is reached, until nothing moves
+        before = dict(first)
+        for a in sets:
+            for b in sets:
+                o = len(sets[a] & sets[b])
+                if o and 100 * o >= 80 * (len(sets[a]) + len(sets[b]) - o):
+                    first[a] = min(first[a], first[b])
+        if first == before:
+            break
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in pipeline.near_duplicates(spark, docs, SMALL).collect()}
+    assert kept == {i for i in first if first[i] == i}
+    assert len(kept) < jaccard.keep_first(docs).count()
+
+
 def test_pipeline_run_gives_the_columns(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     got = pipeline.run(spark, SMALL)
