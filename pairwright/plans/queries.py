@@ -498,6 +498,5 @@ def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A classifier trained on the candidates' training side, over the validation side."""
     from .training import TrainingConfig, train_classifier
 
-    pairs = _ml_pairs(spark, sf_dir).filter("source2_id LIKE 'S2-%'")
-    result = train_classifier(pairs, TrainingConfig(num_boost_round=10), saved_split=views.split(spark, sf_dir))
+    result = train_classifier(_ml_pairs(spark, sf_dir), TrainingConfig(), saved_split=views.split(spark, sf_dir))
     return result.validation_predictions.select("pair_id", "label", F.round("probability", PLACES).alias("probability"))

@@ -90,6 +90,27 @@ def test_training_report_and_round_trip(spark, trained, tmp_path):
         trained.save(str(tmp_path / "m"))
 
 
+def test_the_query_trains_on_all_pairs_with_the_defaults(spark, monkeypatch):
+    from dataclasses import replace
+
+    from conftest import SMALL
+
+    from pairwright.plans import queries, training, views
+
+    asked, real = [], training.train_classifier
+
+    def one_round(pairs, config=None, **more):
+        asked.append((config, pairs.count()))
+        return real(pairs, replace(config, num_boost_round=1), **more)
+
+    monkeypatch.setattr(training, "train_classifier", one_round)
+    got = [r.pair_id for r in queries.QUERIES["train_and_score"](spark, SMALL).collect()]
+    every = views.labelled(spark, SMALL)
+    assert asked == [(TrainingConfig(), every.count())]
+    assert sorted(got) == sorted(r.pair_id for r in every.filter("split = 'validation'").collect())
+    assert any("::S3-" in p for p in got)
+
+
 def test_training_rejects(spark):
     pairs = synthetic_pairs(spark, 6)
     with pytest.raises(ValueError, match="saved_split"):
