@@ -4,7 +4,8 @@ Every text is searched whole. A template's terms are sorted by length; a passage
 holds one of the first, those without which the rest is too light (a prefix filter, exact for cosine in any order).
 These terms find the lines worth a look; windows of 1 to 16 lines around them, and short texts as a whole,
 are compared with the templates that share a term. Words that no template has weigh as much as the rarest one, so
-running text around a notice lowers its score.
+running text in a window lowers its score; so around its own first terms each template is also compared with every
+window of as many terms as it has, wherever lines break.
 
 A file's licence is that of its best passage. A licence file (by its name) also gives it to its directory. The
 directories of all files, each once, are exploded to their ancestors and joined with the directories that have a
@@ -63,20 +64,21 @@ class Matcher:
         self.idf = {w: log((1 + len(counts)) / (1 + n)) + 1 for w, n in df.items()}
         self.unknown = log((1 + len(counts)) / 2) + 1
         self.threshold, self.names, self.vectors, self.lists = threshold, [n for n, _ in counts], [], {}
-        needed = set()
+        self.lengths, self.firsts = [sum(c.values()) for _, c in counts], []
         for k, (_, c) in enumerate(counts):
             v = self.vector(c)
             self.vectors.append(v)
-            rest = 1.0
+            rest, needed = 1.0, set()
             for w in sorted(v, key=lambda w: (-len(w), w)):
                 if rest < threshold**2 - 1e-9:
                     break
                 needed.add(w)
                 rest -= v[w] ** 2
+            self.firsts.append(needed)
             for w in v:
                 self.lists.setdefault(w, []).append(k)
-        self.needed = needed
-        self.longest = max(sum(c.values()) for _, c in counts)
+        self.needed = set().union(*self.firsts)
+        self.longest = max(self.lengths)
 
     def vector(self, counts: Counter) -> dict[str, float]:
         v = {w: (1 + log(n)) * self.idf.get(w, self.unknown) for w, n in counts.items()}
@@ -96,6 +98,39 @@ class Matcher:
         k = min(sums, key=lambda k: (-round(sums[k], 9), k), default=-1)
         return (round(sums[k], 9), k) if k >= 0 else (0.0, -1)
 
+    def slide(self, terms: list[str], k: int) -> int:
+        """Where the window of the template's own length that is nearest to it begins, the first of equals; -1 if none reaches the threshold."""
+        size, vector, best, start, end = min(self.lengths[k], len(terms)), self.vectors[k], self.threshold - 1e-6, -1, -1
+        counts: Counter = Counter()
+        norm = dot = 0.0
+        for i, term in enumerate(terms):
+            if term not in self.firsts[k]:
+                continue
+            for at in range(max(end, i - size + 1, 0), min(i, len(terms) - size) + 1):
+                if at != end or at == 0:  # a new run of windows
+                    counts, norm, dot = Counter(), 0.0, 0.0
+                    moves = [(w, 1) for w in terms[at : at + size]]
+                else:
+                    moves = [(terms[at - 1], -1), (terms[at + size - 1], 1)]
+                for w, by in moves:
+                    n = counts[w]
+                    counts[w] = n + by
+                    idf = self.idf.get(w, self.unknown)
+                    old, new = ((1 + log(x)) * idf if x else 0.0 for x in (n, n + by))
+                    norm += new * new - old * old
+                    dot += (new - old) * vector.get(w, 0.0)
+                end = at + 1
+                if dot > 0 and dot / norm**0.5 > best + 1e-9:
+                    best, start = dot / norm**0.5, at
+        return start
+
+    def word_windows(self, text: str) -> list[str]:
+        """The passage nearest to each template among the windows of as many terms as it has."""
+        found = [m for m in TERM.finditer(text) if m[0].lower() not in STOP]
+        terms = [m[0].lower() for m in found]
+        spans = {(at, min(at + self.lengths[k], len(terms))) for k in range(len(self.vectors)) if (at := self.slide(terms, k)) >= 0}
+        return [text[found[a].start() : found[b - 1].end()] for a, b in sorted(spans)]
+
     def scan(self, text: str | None) -> tuple[str | None, float, str | None]:
         """Licence, score and passage of the best passage of a text; nothing below the threshold."""
         low = (text or "").lower()
@@ -112,6 +147,7 @@ class Matcher:
         passages = ["\n".join(lines[start : start + size]) for start, size in sorted(spans)]
         if len(low) < 64 * self.longest:
             passages.append(text)
+        passages += self.word_windows(text)
         found: tuple[float, int, str] | None = None
         for p in passages:
             score, k = self.best(p)

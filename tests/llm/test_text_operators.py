@@ -235,6 +235,32 @@ def test_planted_notices_are_found(spark):
     assert (rows.own_license.notna() == rows.text.str.contains("icense")).all()
 
 
+@pytest.mark.parametrize(("text", "name"), [
+    ("Copyright 2024 Jane Doe. Released under the MIT License.", "MIT"), ("Photo by Jane Doe, licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+    ("This file is part of Foo. Licensed under the Apache License, Version 2.0.", "Apache-2.0"), ("Mine. Released under\nthe MIT\n\nLicense, as said.", "MIT"),
+])
+def test_notices_inside_running_text_are_found(text, name):
+    matcher, rng = licenses.Matcher(), random.Random(3)
+    filler = lambda n: " ".join(f"zq{rng.randrange(10**6)}" for _ in range(n))
+    for around in (text, f"{filler(30)} {text} {filler(30)}", f"{filler(5000)} {text} {filler(5000)}"):
+        assert matcher.scan(around)[:2] == (name, 1.0)
+
+
+def test_word_windows_match_brute_force():
+    matcher, rng = licenses.Matcher(), random.Random(5)
+    pool = sorted(matcher.idf) + ["zq"] * 20
+    for _ in range(40):
+        k = rng.randrange(len(matcher.vectors))
+        terms = [rng.choice(pool) for _ in range(rng.randrange(60))]
+        notice = [w for w in matcher.vectors[k] if rng.random() < 0.9]
+        terms = terms + notice + [rng.choice(pool) for _ in range(rng.randrange(60))]
+        size = min(matcher.lengths[k], len(terms))
+        cosine = lambda at: sum(x * matcher.vectors[k].get(w, 0.0) for w, x in matcher.vector(Counter(terms[at : at + size])).items())  # noqa: B023, E731
+        scores = [cosine(at) for at in range(len(terms) - size + 1)]
+        at = matcher.slide(terms, k)
+        assert (at >= 0) == (max(scores) >= matcher.threshold) and (at < 0 or scores[at] == pytest.approx(max(scores)))
+
+
 def test_inheritance_goes_to_the_nearest_directory(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [("LICENSE", mit), ("a/b/COPYING", gpl), ("a/x.txt", "q"), ("a/b/c/d.txt", "q"), ("z.txt", ""), ("a/b/own.txt", mit), (None, "q"), ("a/b/c/d.txt", "q"), ("a/bb/y", None), ("n/LICENSE", "nothing here")]
