@@ -12,7 +12,8 @@ the word 3-grams of both the item's question (its first two thirds, unless the b
 answer) and its answer must be found in the passage.
 
 The index is broadcast. It holds at most ITEMS_A_BLOCK items; a larger benchmark is cut into blocks by digest of the
-item, each block with its own statistics, and every document is matched with each block in turn.
+item, and every document is matched with each block in turn. Item counts, document frequencies, lengths and the window
+step are those of the whole benchmark, so scores and hits are the same for blocks of any size.
 
 Defined results: null and empty texts and items without words match nothing; case and punctuation don't count;
 items of fewer than three words are verified by shorter n-grams; repeated rows are matched each; an item that occurs
@@ -25,13 +26,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import lean_batches, table, without_ids
+from .util import lean_batches, materialize, table, without_ids
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, GRAM = 0.6, 0.5, 3
@@ -91,28 +93,39 @@ class Cursor:
         return (self.list.tops[block], ends[block]) if block < len(ends) else (0.0, END)
 
 
+@dataclass
+class Whole:
+    """Of all items with words: how many, their words, the words of the longest; df of the words of one block among all items."""
+
+    items: int
+    words: int
+    longest: int
+    df: dict[str, int]
+
+
 class ItemIndex:
     """The inverted index of a block of items."""
 
-    def __init__(self, items: list[tuple[int, list[str], list[str]]]):
-        """items: id, words of the question, words of the answer."""
+    def __init__(self, items: list[tuple[int, list[str], list[str]]], whole: Whole | None = None):
+        """items: id, words of the question, words of the answer; `whole`: statistics of all blocks, if there are others."""
         items = sorted((i for i in items if i[1] or i[2]), key=lambda i: (len(i[1]) + len(i[2]), str(i[0])))
         self.ids = [i[0] for i in items]
         self.checks = [(n := min(GRAM, len(q) or GRAM), grams(q, n), m := min(GRAM, len(a) or GRAM), grams(a, m)) for _, q, a in items]
         counts = [Counter(q + a) for _, q, a in items]
         sizes = [sum(c.values()) for c in counts]
-        mean = sum(sizes) / max(len(sizes), 1)
-        self.step = max([STEP, *sizes])
-        df = Counter(w for c in counts for w in c)
-        idf = {w: float(np.log1p((len(items) - n + 0.5) / (n + 0.5))) for w, n in df.items()}
+        whole = whole or Whole(len(items), sum(sizes), max(sizes, default=0), Counter(w for c in counts for w in c))
+        mean = whole.words / max(whole.items, 1)
+        self.step = max(STEP, whole.longest)
+        df = dict.fromkeys(w for c in counts for w in c)
+        idf = {w: float(np.log1p((whole.items - whole.df[w] + 0.5) / (whole.df[w] + 0.5))) for w in df}
         self.terms = {w: k for k, w in enumerate(df)}
         self.postings = [Postings([], []) for _ in df]
         for k, (c, size) in enumerate(zip(counts, sizes, strict=True)):
             impact = {w: idf[w] * n * (K1 + 1) / (n + K1 * (1 - B + B * size / mean)) for w, n in c.items()}
-            whole = sum(impact.values())
+            own = sum(impact.values())
             for w, x in impact.items():
                 self.postings[self.terms[w]].items.append(k)
-                self.postings[self.terms[w]].impacts.append(x / whole)
+                self.postings[self.terms[w]].impacts.append(x / own)
         for p in self.postings:
             p.close()
         self.width = max(1, -(-len(items) // RANGES))
@@ -151,7 +164,7 @@ class ItemIndex:
                 for c in cursors[: pivot + 1]:
                     c.seek(to)
             elif cursors[0].item == item:
-                got = sum(c.list.impacts[c.at] for c in cursors[: pivot + 1])
+                got = fsum(c.list.impacts[c.at] for c in cursors[: pivot + 1])  # the same in any order
                 if got >= threshold:
                     found.append((item, got))
                 for c in cursors[: pivot + 1]:
@@ -192,13 +205,32 @@ class ItemIndex:
         return [(self.ids[k], *v) for k, v in sorted(best.items())]
 
 
+def item_statistics(items: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(items, words, longest) in one row, and (block, word, n): the words of each block with their df among all items; `items` has block."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [[w for t in texts for w in words_of(t)] for texts in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.string()))], names=["block", "size", "held"])
+
+    sized = materialize(items.select("block", *columns).mapInArrow(cut, "block long, size long, held array<string>"), "items").filter("size > 0")
+    totals = sized.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("size"), F.lit(0)).alias("words"), F.coalesce(F.max("size"), F.lit(0)).alias("longest"))
+    held = sized.select("block", F.explode("held").alias("word")).groupBy("block", "word").agg(F.count(F.lit(1)).alias("k"))
+    every = held.groupBy("word").agg(F.sum("k").alias("n"))
+    return totals, materialize(held.join(every, "word").select("block", "word", "n"), "items-df")
+
+
 def indexes(benchmark: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> Iterator[ItemIndex]:
     """One index for each block of items; each block is collected alone."""
     columns = ["question", "answer"] if {"question", "answer"} <= set(benchmark.columns) else ["text"]
     items = benchmark.select("item_id", *columns)
     blocks = -(-items.count() // items_a_block)
+    if blocks > 1:
+        items = items.withColumn("block", F.pmod(F.xxhash64(F.col("item_id").cast("string")), F.lit(blocks)).cast("long"))
+        totals, df = item_statistics(items, columns)
+        totals = totals.first()
     for k in range(blocks):
-        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64(F.col("item_id").cast("string")), F.lit(blocks)) == k)
+        part = items if blocks == 1 else items.filter(F.col("block") == k)
         rows = []
         for r in part.toLocalIterator():
             if columns == ["text"]:
@@ -207,7 +239,7 @@ def indexes(benchmark: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> Iterato
                 rows.append((r["item_id"], words[:cut], words[cut:]))
             else:
                 rows.append((r["item_id"], words_of(r["question"]), words_of(r["answer"])))
-        yield ItemIndex(rows)
+        yield ItemIndex(rows, None if blocks == 1 else Whole(*totals, {r["word"]: r["n"] for r in df.filter(F.col("block") == k).toLocalIterator()}))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -217,6 +217,19 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()} == whole
 
 
+def test_blocks_of_items_give_the_same_scores(spark, items, monkeypatch):
+    rng = random.Random(8)
+    half = [(k, " ".join(w if rng.random() < p else f"zq{rng.randrange(999)}" for w in rng.choice(items)[1])) for k, p in enumerate([1, 0.9, 0.8, 0.7] * 30)]
+    docs = spark.createDataFrame(half, "doc_id long, text string")
+    long = " ".join(f"l{i}" for i in range(150))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items] + [(998, None), (999, long)], "item_id long, text string")
+    whole = sorted(map(tuple, decontam.find_leaks(docs, bench).collect()))
+    assert any(r[2] < 0.95 for r in whole)
+    for size in (16, 50):
+        monkeypatch.setattr(decontam.indexes, "__defaults__", (size,))
+        assert sorted(map(tuple, decontam.find_leaks(docs, bench).collect())) == whole
+
+
 # Licences
 
 
