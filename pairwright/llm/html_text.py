@@ -7,6 +7,11 @@ are left out). A page's best containers vote, by their share of the page's text,
 path with most votes. Second pass: a page's text is what stands below the containers with its host's winning path, or
 below its own best container where the winner holds less than half of that one's score.
 
+A mark doesn't hold for a wrapper of the article. One whose name only contains a marking word (has-sidebar), and a form,
+is no boilerplate if it holds main, the only articles, or most of the page's unlinked text in two blocks or more; one of
+any name, if it holds main. Where all h1 with text stand below marks, so is one with an h1 and a quarter of that text.
+Elements that say what they are (nav, footer, aside), headers, comments and what is hidden stay marked.
+
 Votes are summed in each batch before the shuffle, so a host with a third of all pages sends a few rows a batch.
 
 Defined results: null or empty html and pages without text give an empty text; an unknown or null url votes with the
@@ -44,6 +49,8 @@ MARKS = set("""ad ads adv advert adverts advertisement advertisements advertisin
 consent gdpr notice notices newsletter subscribe subscription signup login sidebar sidebars side aside rail menu menus nav navbar navigation
 topnav breadcrumb breadcrumbs footer foot comment comments commentlist disqus replies respond related recommended share sharing social
 popup modal overlay toolbar pagination pager widget widgets masthead copyright disclaimer alert skip hidden""".split())
+#: Marks of replies of readers, which may be longer than the article and be articles themselves.
+REPLIES = set("comment comments commentlist disqus replies respond".split())
 HEADERS = {"header", "site-header", "page-header", "siteheader", "pageheader", "top-header", "topbar", "top-bar"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 DEEPEST = 48
@@ -57,25 +64,39 @@ class Page:
     def __init__(self, html: str):
         self.parent, self.path, self.depth, self.outside, self.head = [-1], ["#"], [0], [False], [False]
         self.blocks: list[tuple[str, int, int, bool]] = []
+        self.tags, self.titles = [""], []
+        self.marks: dict[int, int] = {}  # marked nodes: 0 for good, 1 by a whole name, 2 by a part of a name or a form
         self._parse(html)
+        self._unmark()
 
     def _node(self, tag: str, attributes: str, parent: int, in_article: bool) -> int:
         label, marked, header = tag, tag in OUTSIDE, False
+        kind = 2 if tag == "form" else 0
         if attributes and not attributes.isspace():
             found = {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(attributes)}
             names = [n for n in (found.get("class", "") + " " + found.get("id", "")).lower().split()]
             words = {w for n in names for w in re.split(r"[^a-z]+", n)}
             style = found.get("style", "").replace(" ", "").lower()
+            sure = found.get("role", "").lower() in ROLES - {"form"} or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
+            if words & MARKS and not sure and (tag == "form" or not marked):
+                kind = 1 if words & REPLIES or MARKS & set(names) else 2
+            elif found.get("role", "").lower() == "form" and not sure and not marked:
+                kind = 2
+            elif sure:
+                kind = 0
             marked = marked or bool(words & MARKS) or found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
             header = bool(set(names) & HEADERS)
             label += "".join("." + n for n in sorted({re.sub(r"\d+", "#", n) for n in found.get("class", "").lower().split()}))
         if tag == "header" or header:
             if not in_article:
-                marked = True
+                marked, kind = True, 0
             else:
                 header = True
         if tag in ("body", "html", "main", "article"):
             marked = False
+        if marked:
+            self.marks[len(self.parent)] = kind
+        self.tags.append(tag)
         self.parent.append(parent)
         deep = self.depth[parent] + 1
         self.depth.append(deep)
@@ -95,6 +116,8 @@ class Page:
             if pieces:
                 text = " ".join("".join(pieces).split())
                 if text:
+                    if stack and stack[-1][0] == "h1":
+                        self.titles.append(node)
                     self.blocks.append((text, node, min(linked, len(text)), heading))
                 pieces.clear()
             linked = 0
@@ -161,6 +184,46 @@ class Page:
             heading = bool(stack) and stack[-1][0] in HEADINGS
         flush()
 
+    def _unmark(self) -> None:
+        """Take the marks off wrappers of the article."""
+        soft = [k for k, kind in self.marks.items() if kind]
+        if not soft:
+            return
+        size = len(self.parent)
+        good, count, mains, articles, h1 = [0] * size, [0] * size, [0] * size, [0] * size, [0] * size
+        for text, k, linked, _ in self.blocks:
+            if len(text) > linked:
+                good[k] += len(text) - linked
+                count[k] += 1
+        for k in self.titles:
+            h1[k] += 1
+        for k in range(size - 1, 0, -1):
+            if self.marks.get(k, 2) < 2:  # what stands in surer marks doesn't speak for a wrapper, but main and h1 do
+                good[k], count[k], articles[k], own = 0, 0, 0, good[k]
+            else:
+                own = good[k]
+            mains[k] += self.tags[k] == "main" and own > 0
+            articles[k] += self.tags[k] == "article" and own > 0
+            for held in (good, count, mains, articles):
+                held[self.parent[k]] += held[k]
+            h1[self.parent[k]] += h1[k] if self.marks.get(k) != 0 else 0
+        whole = [0] * size  # all unlinked text but that below marks for good
+        for text, k, linked, _ in self.blocks:
+            whole[k] += len(text) - linked
+        for k in range(size - 1, 0, -1):
+            whole[self.parent[k]] += whole[k] if self.marks.get(k) != 0 else 0
+        clear = any(not self.outside[k] for k in self.titles)
+        lifted = set()
+        for k in soft:
+            part = self.marks[k] == 2
+            if mains[k] or part and articles[k] == articles[0] > 0 or part and count[k] > 1 and 2 * good[k] > good[0]:
+                lifted.add(k)
+            elif not clear and h1[k] and 4 * whole[k] >= whole[0] > 0:
+                lifted.add(k)
+        if lifted:
+            for k in range(1, size):
+                self.outside[k] = self.outside[self.parent[k]] or k in self.marks and k not in lifted
+
     def kept(self, block: tuple[str, int, int, bool]) -> bool:
         return not self.outside[block[1]] and (block[3] or not self.head[block[1]])
 

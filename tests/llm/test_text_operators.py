@@ -93,6 +93,27 @@ def test_odd_pages(html, text):
     assert html_text.extract(html, None) == text
 
 
+ARTICLE = "<h1>Title</h1><p>First para of the article, with some words.<p>Second para of it."
+BODY = "Title\nFirst para of the article, with some words.\nSecond para of it."
+AROUND = "<nav>menu</nav><div class='sidebar'>aside</div><div class='cookie-notice'>We use cookies</div><footer>foot</footer>"
+
+
+@pytest.mark.parametrize("html", [
+    f"<div class='layout has-sidebar'>{ARTICLE}</div>", f"<div class='no-sidebar'><article>{ARTICLE}</article></div>", f"<div class='content with-ads'><main>{ARTICLE}</main></div>",
+    f"<form id='aspnetForm' action='x'><div>{ARTICLE}</div>{AROUND}</form>", f"<form><p>lone</p>{AROUND}<div class='content with-ads'>{ARTICLE}</div></form>".replace("<p>lone</p>", ""),
+])
+def test_marks_do_not_hold_for_wrappers_of_the_article(html):
+    assert html_text.extract(f"<body>{html}{AROUND}</body>", None) == BODY
+    assert html_text.votes(f"<body>{html}{AROUND}</body>")
+
+
+def test_marks_hold_for_what_stands_beside_the_article():
+    long = "<p>nice post, really a very long reply to all of it</p>" * 9
+    for beside in (f"<div id='comments'><article class='comment-body'>{long}</article></div>", f"<div class='comments-area'>{long}</div>", f"<div class='sidebar'>{long}</div>", "<form><p>Name</p><p>Mail</p></form>", f"<nav>{long}</nav>"):
+        assert html_text.extract(f"<body><div class='post'>{ARTICLE}</div>{beside}{AROUND}</body>", None) == BODY
+        assert html_text.extract(f"<body><div class='has-sidebar'>{ARTICLE}{beside}</div>{AROUND}</body>", None) == BODY
+
+
 def test_hosts_vote_and_every_page_comes_back(spark):
     rows = [(i, f"http://Host.example/{i}", PAGE.replace("post-12", f"post-{i}")) for i in range(6)]
     rows += [(7, None, "<p>lone</p>"), (8, "not a url", None), (8, "not a url", None), (9, "http://host.example/x", "<body><main><p>" + "other layout " * 40 + "</p></main></body>")]
