@@ -4,47 +4,60 @@
    a broadcast table of logarithmic frequencies. It fixes one order of all shingles: those whose rarest word is rarest
    come first. Any order is right; this one keeps common passages and phrases out of prefixes.
 2. Each document gives its set's size, a digest of the set and its prefix: of n shingles the first n - ceil(0.9 n) + 1.
-   Documents with equal digests are one class; documents with identical prefixes and size collapse into one group.
-3. Groups that share a prefix shingle are listed by size. Two linked texts differ in size by a tenth at most, and so do
-   all neighbours between them, so joining neighbours whose sizes allow a link keeps every possible link within one
-   candidate component, at one edge a row: no list is ever paired out.
-4. Groups are expanded to their classes and each component is filtered in blocks of BLOCK classes by size, so that a
-   component of any size is dealt over many bounded tasks. Pairs are compared by parity bitmaps of about one bit a
-   shingle: where more bits differ than two linked sets can differ in, there is no link. What passes forms smaller
-   components.
-5. Sets are computed again for the classes that are left alone, and verified exactly in blocks of the same kind. Each
-   set travels once per block pair; what leaves a task is one edge and one link count a class at most.
-6. Components of the verified links are found by large-star and small-star rounds.
+   Documents with equal digests are one class, named by the digest and not by an id, so that rows that share an id keep
+   their own links; documents with identical prefixes and size collapse into one group.
+3. Shingles that only one group has in its prefix are counted away on the map side. Within the list of each other
+   shingle group pairs are filtered: by size, by the places of the shingle in both prefixes, which bound the overlap,
+   and by parity sketches of SKETCH bits. What a task emits is one edge a row at most, to the smallest group that its
+   row may be linked with; no list is paired out.
+4. Groups are expanded to their classes and each component is filtered by parity bitmaps of about one bit a shingle:
+   where more bits differ than two linked sets can differ in, there is no link. What passes forms smaller components.
+5. Sets are computed again for the classes that are left, once each, and verified exactly. What leaves a task is one
+   edge and one link count a class at most.
+6. Components of the verified links are found by large-star and small-star rounds and named by their smallest id.
+
+Steps 3 to 5 deal a key (shingle, component) with more than BLOCK rows over blocks by size and hash: sizes are cut
+where a ratio of the threshold is passed, so links are within a band or between neighbours, and only those pairs of
+blocks make tasks. Counts come from aggregations alone; no window or task sees a whole key.
 
 Sets are of 64-bit digests of shingles; n_shingles and links are exact up to collisions of those.
 
 Defined results: null and empty texts and texts without words have n_shingles 0, no links and are their own component;
 shorter texts than a shingle have one, the whole sequence; equal texts are linked; rows that share a doc_id are linked
 as their texts are and each row is returned; rows without doc_id keep their n_shingles, take part in no link and have
-no component; an empty table gives an empty result; further columns of the input are left out of `link`.
+no component; an empty table gives an empty result; further columns of the input are left out of `link`. `keep_first`
+passes all columns and leaves rows without doc_id or without words as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .util import forget, lean_batches, materialize, table, without_ids
+from . import util
+from .util import forget, lean_batches, materialize, table
 
 WORDS, PERCENT = 3, 90
 FREQUENT_WORDS = 1 << 20
 #: A word counts as frequent from this many documents on; lossy counting forgets words seen once in so many entries.
 LEAST_DF, COUNTED_WORDS = 8, 250_000
 BLOCK = 1024
-#: So many ids are broadcast at most; more are joined by a shuffle.
-MOST_BROADCAST = 500_000
+#: Bits of the sketch that filters group pairs.
+SKETCH = 256
+#: So many narrow rows are broadcast at most; more are joined by a shuffle.
+MOST_BROADCAST = util.MOST_BROADCAST
 CACHED_WORDS = 150_000
 
 
+def few(df: DataFrame, label: str) -> DataFrame:
+    return util.few(df, label, MOST_BROADCAST)
+
+
 class WordHashes(dict):
     """64-bit hashes of words; a worker's memory of them is bounded."""
 
@@ -140,38 +153,47 @@ def parity_bitmap(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
-def prefix_of(words: list[bytes], table_: tuple[np.ndarray, np.ndarray], percent: int = PERCENT, k: int = WORDS) -> tuple[int, int, np.ndarray, bytes]:
-    """Size of the set, its digest, the prefix's shingles, sorted, and the set's bitmap."""
+def sketch_of(s: np.ndarray) -> bytes:
+    """Parity bitmap of SKETCH bits, whatever the size of the set."""
+    return np.packbits(np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def prefix_of(words: list[bytes], table_: tuple[np.ndarray, np.ndarray], percent: int = PERCENT, k: int = WORDS) -> tuple[int, int, np.ndarray, bytes, bytes]:
+    """Size of the set, its digest, the prefix's shingles in the one order of all shingles, the set's bitmap and sketch."""
     s, first = shingle_set(words, k)
     n = len(s)
     if not n:
-        return 0, 0, s, b""
-    import xxhash
-
+        return 0, 0, s, b"", b""
     level = _levels(words, table_)
     rank = level[: len(words) - k + 1] if len(words) >= k else level[:1]
     for i in range(1, k if len(words) >= k else 1):
         rank = np.minimum(rank, level[i : i + len(rank)])
-    key = (rank[first].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
-    p = prefix_length(n, percent)
-    chosen = np.argpartition(key, p - 1)[:p] if p < n else np.arange(n)
-    return n, xxhash.xxh3_64_intdigest(s.tobytes(), seed=n), np.sort(s[chosen]), parity_bitmap(s)
+    order = np.argsort(rank[first], kind="stable")  # by rank, then digest
+    return n, digest_of(s), s[order[: prefix_length(n, percent)]], parity_bitmap(s), sketch_of(s)
+
+
+def digest_of(s: np.ndarray) -> int:
+    """The name of a class: a signed 64-bit digest of the set."""
+    import xxhash
+
+    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s))).view(np.int64))
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
-    """(doc_id, n, digest, prefix_digest, prefix, bitmap) of every document."""
+    """(doc_id, text_hash, n, class, group, prefix, bitmap, sketch) of every document; n 0 where it has no words."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_words(docs))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for b in batches:
-            found = [prefix_of(words_of(t.as_py()), sent.value, percent, k) for t in b.column(1)]
-            signed = lambda values: pa.array(np.array(values, np.uint64).view(np.int64))
+            found = [prefix_of(words_of(t.as_py()), sent.value, percent, k) for t in b.column(2)]
+            groups = np.array([xxhash.xxh3_64_intdigest(f[2].tobytes(), seed=f[0]) for f in found], np.uint64).view(np.int64)
             prefixes = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(f[2]) for f in found]), pa.int32()), pa.array(np.concatenate([f[2] for f in found] or [np.zeros(0, np.uint64)]).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[0] for f in found], pa.int64()), signed([f[1] for f in found]), signed([xxhash.xxh3_64_intdigest(f[2].tobytes()) for f in found]), prefixes, pa.array([f[3] for f in found], pa.binary())], names=["doc_id", "n", "digest", "prefix_digest", "prefix", "bitmap"])
+            columns = [b.column(0), b.column(1), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array(groups), prefixes, pa.array([f[3] for f in found], pa.binary()), pa.array([f[4] for f in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n", "class", "group", "prefix", "bitmap", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, "doc_id long, n long, digest long, prefix_digest long, prefix array<long>, bitmap binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(sign, "doc_id long, text_hash long, n long, class long, group long, prefix array<long>, bitmap binary, sketch binary")
 
 
 def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -200,12 +222,77 @@ def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+def band(n: Column, percent: int = PERCENT) -> Column:
+    """Bands of sizes: the sizes of two linked sets lie in one band or in neighbouring ones."""
+    if percent >= 100:
+        return n.cast("long") * 2  # only equal sizes are linked
+    return F.floor(F.log(n.cast("double")) / F.lit(log(100 / percent) * (1 + 1e-9))).cast("long")
+
+
+def with_tasks(rows: DataFrame, key: str, name: str, percent: int = PERCENT) -> DataFrame:
+    """Add tasks: the pairs of blocks (i, j) of its key where each row is compared, and on which side of them.
+
+    Keys with up to BLOCK rows are one block (0, 0). A larger one is cut by band and hash of `name`: any two rows
+    whose sizes allow a link meet in exactly one task. `rows` should be a materialized table: it is read three times.
+    """
+    hot = few(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > BLOCK).select(key), "hot-keys")
+    banded = rows.join(hot, key, "left_semi").groupBy(key, band(F.col("n"), percent).alias("_band")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("_m"))
+    near = Window.partitionBy(key).orderBy("_band")  # a row a band: some hundred at most
+    at = lambda f, by: F.when(f("_band").over(near) == F.col("_band") + by, f("_m").over(near))
+    blocks = few(banded.select(F.col(key).alias("_key"), "_band", "_m", at(F.lag, -1).alias("_before"), at(F.lead, 1).alias("_after")), "hot-blocks")
+    dealt = rows.join(blocks, (F.col(key) == F.col("_key")) & (band(F.col("n"), percent) == F.col("_band")), "left")
+    block = lambda q, t: q * F.lit(1 << 24) + t
+    q, own = F.col("_band") + 1, F.pmod(F.xxhash64(name), F.col("_m"))
+    task = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    upto = lambda m: F.when(F.coalesce(m, F.lit(0)) > 0, F.sequence(F.lit(0).cast("long"), m - 1)).otherwise(F.array().cast("array<long>"))
+    inside = F.transform(upto(F.col("_m")), lambda t: task(block(q, F.least(t, own)), block(q, F.greatest(t, own)), t < own))
+    above = F.transform(upto(F.col("_after")), lambda t: task(block(q, own), block(q + 1, t), F.lit(False)))
+    below = F.transform(upto(F.col("_before")), lambda t: task(block(q - 1, t), block(q, own), F.lit(True)))
+    alone = F.array(task(F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(False)))
+    return dealt.select(*rows.columns, F.when(F.col("_m").isNull(), alone).otherwise(F.concat(inside, above, below)).alias("tasks"))
+
+
+def near_groups(left: list[tuple], right: list[tuple] | None, percent: int) -> dict[int, int]:
+    """The smallest group that each one may be connected with, for members (group, n, place, sketch) of one shingle's list.
+
+    A group of several sets has no sketch (null), and is told apart by size and place alone.
+    """
+    members = left + (right or [])
+    m, cut = len(members), len(left)
+    n, place = np.array([x[1] for x in members], np.int64), np.array([x[2] for x in members], np.int64)
+    loose, ids = np.array([x[3] is None for x in members]), np.array([x[0] for x in members], np.int64)
+    sketch = np.frombuffer(b"".join(x[3] or bytes(SKETCH // 8) for x in members), np.uint64).reshape(m, -1)
+    rest, label, hit_any = n - place, np.arange(m), np.zeros(m, bool)
+    for x in range(m - 1 if right is None else cut):
+        others = np.arange(x + 1, m) if right is None else np.arange(cut, m)
+        both = n[x] + n[others]
+        fits = ((100 + percent) * np.minimum(rest[x], rest[others]) >= percent * both) & (100 * np.minimum(n[x], n[others]) >= percent * np.maximum(n[x], n[others]))
+        others = others[fits]
+        differ = np.bitwise_count(sketch[others] ^ sketch[x]).sum(axis=1, dtype=np.int64)
+        hits = others[((100 + percent) * differ <= (100 - percent) * (n[x] + n[others])) | loose[x] | loose[others]]
+        if len(hits):
+            hit_any[x] = hit_any[hits] = True
+            labels = np.unique(np.append(label[hits], label[x]))
+            if len(labels) > 1:
+                label[np.isin(label, labels[1:])] = labels[0]
+    low = np.full(m, np.iinfo(np.int64).max)
+    np.minimum.at(low, label, ids)
+    return {int(ids[x]): int(low[label[x]]) for x in np.flatnonzero(hit_any)}
+
+
 def candidate_groups(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) between neighbours in the lists of prefix shingles whose sizes allow a link; groups: group, n, prefix."""
-    rows = groups.select("group", "n", F.explode("prefix").alias("shingle"))
-    listed = Window.partitionBy("shingle").orderBy("n", "group")
-    pairs = rows.select(F.col("group").alias("a"), "n", F.lead("group").over(listed).alias("b"), F.lead("n").over(listed).alias("n2"))
-    return pairs.filter(f"b IS NOT NULL AND 100 * n >= {percent} * n2").select("a", "b")
+    """Edges (a, b) between groups that may be linked; groups: group, n, prefix, sketch, a materialized table."""
+    rows = groups.select("group", "n", F.posexplode("prefix").alias("place", "shingle"))
+    shared = few(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("shingle"), "jaccard-shared")
+    listed = materialize(rows.join(shared, "shingle", "left_semi"), "jaccard-lists")
+    dealt = with_tasks(listed, "shingle", "group", percent)
+    sketches = groups.select("group", "sketch").join(listed.select("group").distinct(), "group", "left_semi")
+    whole = dealt.join(sketches, "group").select("shingle", F.col("group").alias("class"), "n", "place", "sketch", "tasks")
+
+    def task(left: list, right: list | None) -> list:
+        return sorted(near_groups(left, right, percent).items())
+
+    return by_block(whole, "shingle", ["class", "n", "place", "sketch"], task, ["a", "b"], "a long, b long")
 
 
 def verify_block(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int, int, np.ndarray]] | None, percent: int) -> tuple[dict[int, int], dict[int, int]]:
@@ -305,119 +392,112 @@ def near_bitmaps(left: list[tuple[int, int, bytes]], right: list[tuple[int, int,
     return {members[x][0]: low[find(x)] for x in np.flatnonzero(hit_any).tolist()}
 
 
-def place(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(component, i, j, side, class, docs, n): each class in every pair of blocks of its component that may hold a link of it.
+def by_block(dealt: DataFrame, key: str, fields: list[str], task, names: list[str], schema: str) -> DataFrame:
+    """Run `task(left, right)` over the members (`fields`, the first one names them) of each pair of blocks; right is None for one block.
 
-    classes: class, docs, n, component. Blocks hold BLOCK classes in order of size.
-    """
-    ordered = Window.partitionBy("component").orderBy("n", "class")
-    held = classes.withColumn("block", F.floor((F.row_number().over(ordered) - 1) / BLOCK).cast("int"))
-    held = materialize(held.select("class", "docs", "n", "component", "block"), "jaccard-classes")
-    blocks = held.groupBy("component", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    many = blocks.filter("block > 0").select("component").distinct()
-    some = blocks.join(many, "component", "left_semi")
-    other = some.select(F.col("component").alias("c"), F.col("block").alias("other"), F.col("low").alias("low2"))
-    pairs = some.join(other, (F.col("component") == F.col("c")) & (F.col("other") > F.col("block")) & (100 * F.col("high") >= percent * F.col("low2"))).select("component", F.col("block").alias("i"), F.col("other").alias("j"))
-    shared = pairs.select("component", F.col("i").alias("block"), "i", "j", F.lit(0).alias("side")).unionByName(pairs.select("component", F.col("j").alias("block"), "i", "j", F.lit(1).alias("side")))
-    alone = held.select("component", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side"), "class", "docs", "n")
-    return alone.unionByName(held.join(shared, ["component", "block"]).select(alone.columns))
-
-
-def by_block(dealt: DataFrame, column: str, task, names: list[str], schema: str) -> DataFrame:
-    """Run `task(left, right)` over the members (class, docs, n, `column`) of each pair of blocks; right is None for one block.
-
-    Rows come sorted by task, so a worker holds two blocks at a time.
+    Rows come sorted by task, so a worker holds two blocks at a time. Repeated rows of a member count once.
     """
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.select("component", "i", "j", "side", "class", "docs", "n", column)
-    dealt = dealt.repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j", "side", "class")
+    order = [key, "i", "j", "side", fields[0]]
+    rows = dealt.select(key, F.explode("tasks").alias("_t"), *fields).select(key, "_t.i", "_t.j", "_t.side", *fields)
+    rows = rows.repartition(parts, key, "i", "j").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, sides = None, ([], [])
+        now, sides = None, ([], [])
 
         def close() -> Iterator[pa.RecordBatch]:
-            one = key is not None and key[1] == key[2]
+            one = now is not None and now[1] == now[2]
             if len(sides[0]) < 1 + one or not one and not sides[1]:
                 return
-            rows = task(sides[0], None if one else sides[1])
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
+            found = task(sides[0], None if one else sides[1])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=names)
 
         for b in batches:
-            cols = [c.to_pylist() for c in b.columns]
-            for component, i, j, side, of, docs, n, value in zip(*cols, strict=True):
-                if (component, i, j) != key:
+            for of, i, j, side, *member in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (of, i, j) != now:
                     yield from close()
-                    key, sides = (component, i, j), ([], [])
+                    now, sides = (of, i, j), ([], [])
                 part = sides[side]
-                if not part or part[-1][0] != of:  # rows that share a class's id come from repeated rows
-                    part.append((of, docs, n, value))
+                if not part or part[-1][0] != member[0]:
+                    part.append(tuple(member))
         yield from close()
 
-    return dealt.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
-def filtered(classes: DataFrame, bitmaps: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(class, low): edges of the components that bitmaps leave; classes: class, docs, n, component; bitmaps: class, bitmap."""
+def filtered(classes: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): edges of the components that bitmaps leave; classes: class, rep, docs, n, component, a materialized table."""
+    bitmaps = signed.select(F.col("class").alias("_c"), F.col("doc_id").alias("_d"), "bitmap")
+    whole = with_tasks(classes, "component", "class", percent).join(bitmaps, (F.col("class") == F.col("_c")) & (F.col("rep") == F.col("_d")))
 
     def task(left: list, right: list | None) -> list:
-        short = lambda part: [(m[0], m[2], m[3]) for m in part]
-        return sorted(near_bitmaps(short(left), None if right is None else short(right), percent).items())
+        return sorted(near_bitmaps(left, right, percent).items())
 
-    return by_block(place(classes, percent).join(bitmaps, "class"), "bitmap", task, ["class", "low"], "class long, low long")
+    return by_block(whole, "component", ["class", "n", "bitmap"], task, ["a", "b"], "a long, b long")
 
 
 def verified(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
-    """(class, low, links) of every class with a link, a row for each task that finds one; classes: class, docs, n, component."""
-    placed = materialize(place(classes, percent), "jaccard-placed")
-    few = placed.count() <= MOST_BROADCAST
-    texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("class"), "text")
-    dealt = texts.join(F.broadcast(placed) if few else placed, "class")
-    names = ["component", "i", "j", "side", "class", "docs", "n"]
+    """(class, low, links) of every class with a link, a row for each task that finds one; classes: class, rep, docs, n, component."""
+    dealt = few(with_tasks(classes, "component", "class", percent), "jaccard-tasks")
+    texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("rep"), "text")
+    names, kinds = ["component", "class", "docs", "tasks"], "component long, class long, docs long, tasks array<struct<i: long, j: long, side: int>>"
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [shingle_set(words_of(t.as_py()), k)[0].tobytes() for t in b.column(len(names))]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(found, pa.binary())], names=[*names, "set"])
+            found = [shingle_set(words_of(t.as_py()), k)[0] for t in b.column(len(names))]
+            mine = pa.array([digest_of(s) == c for s, c in zip(found, b.column(1).to_pylist(), strict=True)], pa.bool_())  # another row may share the id
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array([s.tobytes() for s in found], pa.binary())], names=[*names, "set"]).filter(mine)
 
     def task(left: list, right: list | None) -> list:
-        whole = lambda part: [(m[0], m[1], np.frombuffer(m[3], np.uint64)) for m in part]
+        whole = lambda part: [(m[0], m[1], np.frombuffer(m[2], np.uint64)) for m in part]
         low, links = verify_block(whole(left), None if right is None else whole(right), percent)
         return [(x, low[x], links[x]) for x in sorted(low)]
 
-    whole = dealt.select(*names, "text").mapInArrow(sets, "component long, i int, j int, side int, class long, docs long, n long, set binary")
-    return by_block(whole, "set", task, ["class", "low", "links"], "class long, low long, links long")
+    whole = texts.join(dealt, "rep").select(*names, "text").mapInArrow(sets, f"{kinds}, set binary")
+    return by_block(whole, "component", ["class", "docs", "set"], task, ["class", "low", "links"], "class long, low long, links long")
 
 
-def link(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links): one row per document."""
+def linked_rows(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, n_links): one row per document; text_hash tells apart rows that share an id."""
     lean_batches(docs.sparkSession)
     signed = materialize(signatures(docs, percent, k), "jaccard-signatures")
     some = signed.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = some.groupBy("n", "digest", "prefix_digest").agg(F.min("doc_id").alias("class"), F.count(F.lit(1)).alias("docs"))
-    classes = materialize(classes, "jaccard-digests")
-    groups = some.groupBy("n", "prefix_digest").agg(F.min("doc_id").alias("group"), F.first("prefix").alias("prefix"))
+    classes = some.groupBy("class", "n", "group").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("docs"))
+    classes = materialize(classes, "jaccard-classes")
+    one = F.min("class") == F.max("class")  # a prefix is the same in all of a group, a sketch only where it holds one class
+    groups = materialize(some.groupBy("group", "n").agg(F.first("prefix").alias("prefix"), F.when(one, F.first("sketch")).alias("sketch")), "jaccard-groups")
     edges = candidate_groups(groups, percent)
     found = star_components(edges)
-    named = classes.withColumn("group", F.min("class").over(Window.partitionBy("n", "prefix_digest")))
-    alone = named.groupBy("group").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(F.col("group").alias("node"), F.col("group").alias("component"))
-    held = found.unionByName(alone.join(found, "node", "left_anti"))
-    candidates = named.join(held.withColumnRenamed("node", "group"), "group").select("class", "docs", "n", "component")
-    bitmaps = some.select(F.col("doc_id").alias("class"), "n", "digest", "bitmap").join(classes.select("class", "n", "digest"), ["class", "n", "digest"], "left_semi").select("class", "bitmap")
-    possible = star_components(filtered(candidates, bitmaps, percent).select(F.col("class").alias("a"), F.col("low").alias("b")))
-    left = classes.join(possible.withColumnRenamed("node", "class"), "class").select("class", "docs", "n", "component")
+    several = classes.groupBy("group").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(F.col("group").alias("node"), F.col("group").alias("component"))
+    held = found.unionByName(several.join(found, "node", "left_anti"))
+    candidates = materialize(classes.join(held.withColumnRenamed("node", "group"), "group").select("class", "rep", "docs", "n", "component"), "jaccard-candidates")
+    possible = star_components(filtered(candidates, some, percent))
+    left = materialize(classes.join(possible.withColumnRenamed("node", "class"), "class").select("class", "rep", "docs", "n", "component"), "jaccard-possible")
     proof = materialize(verified(left, docs, percent, k), "jaccard-links")
-    joined = star_components(proof.select(F.col("class").alias("a"), F.col("low").alias("b"))).select(F.col("node").alias("class"), F.col("component").alias("_component"))
+    joined = materialize(star_components(proof.select(F.col("class").alias("a"), F.col("low").alias("b"))), "jaccard-components")
+    least = joined.join(classes.select(F.col("class").alias("node"), "rep"), "node").groupBy("component").agg(F.min("rep").alias("_least"))
+    named = joined.join(least, "component").select(F.col("node").alias("class"), F.col("component").alias("_component"), "_least")
     links = proof.groupBy("class").agg(F.sum("links").alias("_links"))
-    result = classes.join(joined, "class", "left").join(links, "class", "left")
-    result = result.select(F.col("n").alias("_n"), F.col("digest").alias("_digest"), "class", "docs", "_component", "_links")
-    every = signed.select("doc_id", "n", "digest").join(result, (F.col("n") == F.col("_n")) & (F.col("digest") == F.col("_digest")) & F.col("doc_id").isNotNull(), "left")
-    return every.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_component", "class", "doc_id").alias("component_id"), (F.coalesce("docs", F.lit(1)) - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"))
+    more = classes.join(named, "class", "left").filter("docs > 1 OR _component IS NOT NULL").join(links, "class", "left")
+    more = few(more.select(F.col("class").alias("_class"), "rep", "docs", "_component", "_least", "_links"), "jaccard-named")
+    every = signed.select("doc_id", "text_hash", "class", "n").join(more, (F.col("class") == F.col("_class")) & F.col("doc_id").isNotNull() & (F.col("n") > 0), "left")
+    return every.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("_least", "rep", "doc_id").alias("component_id"), (F.coalesce("docs", F.lit(1)) - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"))
+
+
+def link(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links): one row per document."""
+    return linked_rows(docs, percent, k).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
-    """One document of each component, that of the smallest id, with its columns; rows without id stay."""
-    return without_ids(docs, link(docs, percent, k).filter("doc_id <> component_id"))
+    """One document of each component, that of the smallest id, with its columns; rows with that id are one document.
+
+    Rows are dropped by id and text, so that a row doesn't go with its namesake.
+    """
+    rows = linked_rows(docs, percent, k).filter("doc_id <> component_id").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"))
+    off = few(rows.distinct(), "jaccard-off")
+    return docs.join(off, (F.col("doc_id").cast("long") == F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left_anti").select(*docs.columns)
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

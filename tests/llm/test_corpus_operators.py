@@ -147,6 +147,46 @@ def test_small_blocks_and_no_broadcast_give_the_same(spark, near, monkeypatch):
     assert linked(spark.createDataFrame(near, "doc_id long, text string")) == brute(near)
 
 
+@pytest.mark.parametrize("block", [1024, 3])
+def test_rows_that_share_an_id_keep_their_links(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    base = [f"w{i}" for i in range(60)]
+    a, b, near_a = " ".join(base), " ".join(f"v{i}" for i in range(60)), " ".join([*base, "more"])
+    rows = [(5, a), (5, b), (7, near_a), (9, b + " x"), (9, near_a + " y"), (5, a), (None, a), (11, "lone words stand here"), (11, "lone words stand here")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _row int").withColumnRenamed("_row", "row")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jaccard.link(docs).collect()), key=str)
+    assert got == sorted([(5, 58, 5, 3), (5, 58, 5, 3), (5, 58, 5, 1), (7, 59, 5, 3), (9, 59, 5, 1), (9, 60, 5, 3), (None, 58, None, 0), (11, 2, 11, 1), (11, 2, 11, 1)], key=str)
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_first(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(5, a), (5, a), (5, b), (None, a), (11, "lone words stand here"), (11, "lone words stand here")], key=str)
+
+
+def test_group_filter_loses_no_link():
+    rng = random.Random(8)
+    table = (np.zeros(0, np.uint64), np.zeros(0, np.uint8))
+    for _ in range(150):
+        words = [b"w%d" % rng.randrange(10**6) for _ in range(rng.choice([3, 5, 20, 60, 200]))]
+        other = edited(rng, [w.decode() for w in words], rng.randint(0, 4)).encode().split()
+        for percent, k in ((90, 3), (80, 5)):
+            a, b = (set(jaccard.shingle_set(w, k)[0].tolist()) for w in (words, other))
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                (n, _, p, _, s), (n2, _, p2, _, s2) = (jaccard.prefix_of(w, table, percent, k) for w in (words, other))
+                lists = [((1, n, p.tolist().index(x), s), (2, n2, p2.tolist().index(x), s2)) for x in set(p.tolist()) & set(p2.tolist())]
+                assert any(jaccard.near_groups([x], [y], percent) == {1: 1, 2: 1} == jaccard.near_groups([x, y], None, percent) for x, y in lists)
+
+
+def test_any_two_rows_meet_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    rng = random.Random(1)
+    rows = [(k, i * 10 + k, rng.randint(1, 60)) for k, size in ((1, 3), (2, 40), (3, 90)) for i in range(size)]
+    dealt = jaccard.with_tasks(spark.createDataFrame(rows, "key long, name long, n long"), "key", "name", 80).collect()
+    tasks = {r.name: {(t.i, t.j): t.side for t in r.tasks} for r in dealt}
+    for x in dealt:
+        for y in dealt:
+            if x.name < y.name and x.key == y.key:
+                met = [t for t in tasks[x.name].keys() & tasks[y.name].keys() if t[0] == t[1] or tasks[x.name][t] != tasks[y.name][t]]
+                assert len(met) <= 1 and (met or 100 * min(x.n, y.n) < 80 * max(x.n, y.n))
+
+
 def test_bitmaps_lose_no_link():
     rng = random.Random(4)
     for _ in range(200):
