@@ -5,18 +5,22 @@ expected copies are prefix-summed within the source, one random offset is added,
 each integer boundary that its interval crosses. Documents are ordered by size within blocks, so that the words taken
 stay within about one document of the target for each block.
 
+No window holds all sources: they are ranked by range, and the level at which targets stop is found by rounds of one
+aggregation each, which end when no further source stops. Prefix sums are kept modulo one copy, so they can't overflow.
+
 Defined results: null text has size 0; null source is a source of its own, weighed last; documents without words are
 expected as often as others of their source and take 0 words; a source without words gets target 0 and no copies;
 repeated rows and repeated ids are documents of their own; an empty table gives an empty result; further columns pass
-through `mix`, whatever their names (those that start with an underscore are reserved).
+through `mix`, whatever their names (those that start with an underscore are reserved). `mix` tells rows apart by id
+and a digest of all their columns; of rows that are equal throughout, one is emitted as often as all of them are taken.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .util import WORD, join_same, materialize, running_total, table, word_count
+from .util import WORD, few, join_same, materialize, running_total, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -26,56 +30,68 @@ UNIT = 1 << 28
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """(source, docs, source_size, target, rate): one row per source.
+    """(source, docs, source_size, target, _rate): one row per source.
 
     Sources by code point, null last, weigh `weights` in turn and share `share` times all sizes. A target stops at
-    `most` times its source's size; what is above goes to the others by weight, until none is above. Sorted by cap
-    over weight, the sources that stop come first, so one running sum finds the level of the rest. The two windows
-    without a key see one row per source.
+    `most` times its source's size; what is above goes to the others by weight, until none is above.
     """
-    cycle = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("_k") - 1) % len(weights) + 1).cast("int"))
+    parts = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.col("source").asc_nulls_last()
     sums = sized.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("source_size"))
-    ranked = sums.withColumn("_k", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))).withColumn("_w", cycle.cast("long")).withColumn("_cap", F.col("source_size") * most)
-    order = [(F.col("_cap") / F.col("_w")).asc(), F.col("_k").asc()]
-    ahead, rest = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1), Window.orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    full = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(full) * F.lit(float(share)) - F.coalesce(F.sum("_cap").over(ahead), F.lit(0))) / F.sum("_w").over(rest)
-    levelled = ranked.withColumn("_level", level).withColumn("_stops", F.col("_cap") / F.col("_w") <= F.col("_level"))
-    first = F.min(F.when(~F.col("_stops"), F.struct((F.col("_cap") / F.col("_w")).alias("r"), "_k", "_level"))).over(full)["_level"]
-    target = F.when(F.col("_stops"), F.col("_cap").cast("double")).otherwise(F.col("_w") * first)
-    rate = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * UNIT)).otherwise(F.lit(0))
-    return levelled.withColumn("target", target).select("source", "docs", "source_size", "target", rate.cast("long").alias("_rate"))
-
-
-def systematic_copies(weighed: DataFrame, seed: str = "mix") -> DataFrame:
+    ranged = materialize(sums.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id()), "mix-sources")
+    starts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row a partition
+    starts = starts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
+    rank = F.col("_first") + F.row_number().over(Window.partitionBy("_part").orderBy(order))
+    cycle = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("_k") - 1) % len(weights) + 1).cast("int")).cast("long")
+    ranked = ranged.join(F.broadcast(starts), "_part").withColumn("_k", rank).withColumn("_w", cycle).withColumn("_cap", F.col("source_size") * most)  # a row a partition
+    ranked = materialize(ranked.select("source", "docs", "source_size", "_w", "_cap"), "mix-ranked")
+    level, stopped = 0.0, -1
+    while True:
+        stops = F.col("_cap") / F.col("_w") <= level if stopped >= 0 else F.lit(False)
+        now = ranked.agg(F.sum("source_size").alias("all"), F.count_if(stops).alias("n"), F.sum(F.when(stops, F.col("_cap")).otherwise(0)).alias("cap"), F.sum(F.when(stops, 0).otherwise(F.col("_w"))).alias("w")).first()
+        if now["n"] == stopped or not now["w"]:  # none stops any more, or there is no other left
+            break
+        stopped, level = now["n"], (float(now["all"]) * share - float(now["cap"])) / float(now["w"])
+    stops = F.col("_cap") / F.col("_w") <= level
+    target = F.when(stops, F.col("_cap").cast("double")).otherwise(F.col("_w") * level)
+    rate = F.when(F.col("source_size") > 0, F.floor(target / F.col("source_size") * UNIT)).otherwise(F.lit(0))
+    return ranked.select("source", "docs", "source_size", target.alias("target"), rate.cast("long").alias("_rate"))
+
+
+def systematic_copies(weighed: DataFrame, seed: str = "mix", ties: tuple[str, ...] = ()) -> DataFrame:
     """Add `copies` to rows with source, doc_id, size and _rate (expected copies in UNITs)."""
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce("source", F.lit("")))), 1, 7), 16, 10).cast("long")
-    placed = running_total(weighed, ["source"], "doc_id", [F.col("size"), F.col("doc_id")], F.col("_rate"), "_start")
+    placed = running_total(weighed, ["source"], "doc_id", [F.col("size"), F.col("doc_id"), *map(F.col, ties)], F.col("_rate"), "_start", wrap=UNIT)
     low, high = F.shiftright(F.col("_start") + offset, 28), F.shiftright(F.col("_start") + F.col("_rate") + offset, 28)
     return placed.withColumn("copies", (high - low).cast("long")).drop("_start")
 
 
-def weigh(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = "mix") -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies): one row per document, without its text."""
-    sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
-    targets = source_targets(sized, weights, share, most)
-    rated = join_same(sized, targets, ["source"]).select("doc_id", "source", "size", "source_size", "target", "_rate")
-    return systematic_copies(rated, seed).drop("_rate")
+def weigh(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = "mix", ties: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies): one row per document, without its text; `ties` are kept too."""
+    sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *ties), "mix-sizes")
+    targets = few(source_targets(sized, weights, share, most), "mix-targets")
+    rated = join_same(sized, targets, ["source"]).select("doc_id", "source", "size", "source_size", "target", "_rate", *ties)
+    return systematic_copies(rated, seed, ties).drop("_rate")
+
+
+def row_digest(docs: DataFrame) -> Column:
+    """A 64-bit digest of all columns of a row."""
+    plain = [F.to_json(F.struct(n)) if kind.startswith(("map", "variant", "struct", "array")) else F.col(n) for n, kind in docs.dtypes]
+    return F.xxhash64(*plain)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = "mix") -> DataFrame:
     """The mixed corpus: every document as often as it is taken, with the columns of `docs`.
 
-    Copies meet their texts by id; rows that share an id take the copies of that id's rows of the same source and size
-    in turn.
+    Texts stay where they are read, unless more than a broadcast's bound of rows is taken; then they move once.
     """
-    names = docs.columns
-    turn = Window.partitionBy("doc_id", "source", "_size").orderBy(F.lit(0))
-    copies = weigh(docs, weights, share, most, seed).select("doc_id", "source", F.col("size").alias("_size"), F.col("copies").alias("_copies")).withColumn("_turn", F.row_number().over(turn))
-    copies = copies.filter("_copies > 0")
-    texts = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_turn", F.row_number().over(turn))
-    joined = join_same(texts, copies, ["doc_id", "source", "_size", "_turn"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*names)
+    marked = docs.withColumn("_digest", row_digest(docs))
+    counts = weigh(marked, weights, share, most, seed, ("_digest",)).groupBy("doc_id", "_digest").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    taken = few(counts.filter("_copies > 0"), "mix-taken")
+    joined = join_same(marked, taken, ["doc_id", "_digest"])
+    if not taken.filter("_rows > 1").isEmpty():
+        joined = joined.filter("_rows = 1").unionByName(joined.filter("_rows > 1").dropDuplicates(["doc_id", "_digest"]))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
