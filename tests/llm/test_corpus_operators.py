@@ -71,6 +71,39 @@ def test_deep_and_wide_trees(spark):
             assert path == want
 
 
+def test_best_paths_of_random_trees_match_brute_force(spark):
+    rng = random.Random(3)
+    rows, want, every = [], {}, 0
+    for t in range(30):
+        size = rng.randint(1, 40)
+        parent = [None if i == 0 or rng.random() < 0.1 else rng.randrange(max(0, i - 3), i) for i in range(size)]
+        score = [float(rng.randint(0, 5)) for _ in range(size)]
+        rows += [(f"t{t}", i, p, "user" if i % 2 else "assistant", f"m{t}.{i}", s) for i, (p, s) in enumerate(zip(parent, score, strict=True))]
+        paths = []
+        for leaf in set(range(size)) - set(parent):
+            path = [leaf]
+            while parent[path[0]] is not None:
+                path.insert(0, parent[path[0]])
+            paths.append((-sum(score[i] for i in path) / len(path), -len(path), leaf, path))
+        every += len(paths)
+        for k in (1, 2):
+            want[f"t{t}", k] = [p[3] for p in sorted(paths)[:k]]
+    trees = spark.createDataFrame(rows, TREE)
+    assert chat.format_trees(trees).count() == every
+    for k in (1, 2):
+        got = defaultdict(set)
+        for r in chat.read_back(chat.format_trees(trees, k)).collect():
+            got[r.tree].add(tuple(int(t.text.split(".")[1]) for t in r.turns))
+            assert r.loss == "".join(t.text for t in r.turns if t.role == "assistant")
+        assert all(got[tree] == set(map(tuple, paths)) for (tree, n), paths in want.items() if n == k)
+
+
+def test_messages_that_share_a_node(spark):
+    rows = [("a", 1, None, "user", "q", 0.0), ("a", 2, 1, "assistant", "y", 1.0), ("a", 2, 1, "assistant", "x", 3.0), ("a", 3, 1, "assistant", "z", 2.0)]
+    got = [[t.text for t in r.turns] for r in chat.read_back(chat.format_trees(spark.createDataFrame(rows, TREE), 1)).collect()]
+    assert got == [["q", "x", "y"]]
+
+
 def test_odd_conversations(spark):
     rows = [(1, None, "user", "b", 1), (1, None, "user", "a", 1), (1, 2, "assistant", None, 1), (1, 2, "assistant", None, 1), (None, 1, None, "long " * 50_000, 1)]
     got = {r.tree: r for r in chat.read_back(chat.format_trees(chat.as_trees(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, tree int")))).collect()}
@@ -236,6 +269,28 @@ def test_mix_takes_what_targets_ask(spark):
     assert counts == {int(r.doc_id): int(r.copies) for r in found.itertuples() if r.copies}
 
 
+def test_mix_of_repeated_ids_and_rows(spark):
+    rng = random.Random(2)
+    rows = [(i % 50, "w " * rng.randint(1, 9), "en", rng.choice("ab"), 1) for i in range(400)] + [(7, "same w", "en", "a", 1)] * 9 + [(None, f"n {i % 3}", "en", "a", 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    weighed = mixing.weigh(docs.withColumn("_digest", mixing.row_digest(docs)), ties=("_digest",))
+    want = Counter({r._digest: r.c for r in weighed.groupBy("_digest").agg(F.sum("copies").alias("c")).collect() if r.c})
+    mixed = mixing.mix(docs)
+    for _ in range(2):
+        assert Counter(r._digest for r in mixed.withColumn("_digest", mixing.row_digest(mixed)).collect()) == want
+
+
+def test_targets_of_many_sources_match_their_sql(spark, duck):
+    rng = random.Random(4)
+    rows = [(i, "w " * rng.choice([0, 1, 2, 9, 40]), None, rng.choice([None, *(f"s{k}" for k in range(60)), "s1", "s1", "s1", "Ä", "z"]), 1) for i in range(1500)]
+    docs = spark.createDataFrame(rows, DOCS)
+    con = duck.cursor()
+    con.register("d", docs.toPandas())
+    con.sql("CREATE TEMP TABLE documents AS SELECT doc_id, text, source FROM d")
+    got = mixing.weigh(docs).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies").toPandas()
+    assert same_rows(got, con.sql(mixing.OP7_SQL).df())
+
+
 def test_mix_of_odd_documents(spark, odd, empty):
     assert mixing.mix(empty).count() == 0 and mixing.weigh(empty).count() == 0
     rows = mixing.weigh(odd).collect()
@@ -331,6 +386,64 @@ def test_any_number_of_shards(spark, n):
     assert len(sums) == n and sums.max() - sums.min() <= 2 * 37 * 11
 
 
+def reference_tree(rows, dims, leaves, keep):
+    """Leaf of every row, the tree grown in memory: rows are (size, group, id, *dims)."""
+    span = [max(1, max(r[3 + d] for r in rows) - min(r[3 + d] for r in rows)) for d in range(dims)]
+    limit, out = max(max(r[0] for r in rows), sum(r[0] for r in rows) / leaves * keep), {}
+
+    def grow(part, first, n):
+        if n == 1 or not part:
+            out.update({r[:3]: first for r in part})
+            return
+        d = max(range(dims), key=lambda i: ((max(r[3 + i] for r in part) - min(r[3 + i] for r in part)) / span[i], -i))
+        part = sorted(part, key=lambda r: (r[3 + d], r[1], r[2]))
+        goal, upto, at = sum(r[0] for r in part) * (n // 2) / n, 0, 0
+        while upto + part[at][0] < goal:
+            upto += part[at][0]
+            at += 1
+        same = [i for i, r in enumerate(part) if (r[3 + d], r[1]) == (part[at][3 + d], part[at][1])]
+        if (whole := sum(part[i][0] for i in same)) <= limit:
+            below = sum(r[0] for r in part[: same[0]])
+            cut = same[-1] + 1 if below + whole - goal <= goal - below else same[0]
+        else:
+            cut = at + 1 if upto + part[at][0] - goal <= goal - upto else at
+        grow(part[:cut], first, n // 2)
+        grow(part[cut:], first + n // 2, n - n // 2)
+
+    grow(rows, 0, leaves)
+    return out
+
+
+@pytest.mark.parametrize(("leaves", "levels"), [(8, 4), (8, 1), (13, 2), (3, 4)])
+def test_shards_match_a_tree_grown_in_memory(spark, monkeypatch, leaves, levels):
+    monkeypatch.setattr(shards, "NEXT_LEVELS", levels)
+    rng = random.Random(leaves)
+    rows = [(i, rng.choice(["copy of a text ", "ä" * rng.randint(0, 60), "a b c " * rng.randint(1, 30) + str(i)]), rng.choice(["en", "de", None]), rng.choice(["a", "b"]), 1) for i in range(600)]
+    docs = spark.createDataFrame(rows, DOCS)
+    dims = shards.dimensions(F.col("text")) | {"lang": F.length("lang"), "source": F.ascii("source")}
+    facts = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("size"), F.shiftright(F.xxhash64("text"), 2).alias("g"), F.shiftright(F.xxhash64(F.col("doc_id").cast("string")), 2).alias("i"), *[F.coalesce(c.cast("long"), F.lit(0)).alias(n) for n, c in dims.items()]).collect()
+    want = reference_tree([tuple(r[1:]) for r in facts], len(dims), leaves, shards.KEEP_WHOLE)
+    got = {r.doc_id: r.shard for r in shards.assign(docs, leaves, dims).collect()}
+    assert got == {r.doc_id: want[tuple(r[1:4])] for r in facts}
+
+
+def test_target_bytes_set_the_leaves(spark):
+    docs = spark.createDataFrame([(i, "y" * 99, None, None, None) for i in range(640)], DOCS)
+    got = shards.assign(docs, target_bytes=6400).groupBy("shard").count().collect()
+    assert len(got) == 10 and {r["count"] for r in got} == {64}
+    with pytest.raises(ValueError):
+        shards.assign(docs, 8, target_bytes=10)
+
+
+def test_columns_named_as_the_results_pass_through(spark):
+    docs = spark.createDataFrame([(i, f"t{i}", "mine", i * 2) for i in range(40)], "doc_id long, text string, shard string, Slot long")
+    got = shards.number(shards.assign(docs, 4))
+    assert got.columns == ["doc_id", "text", "shard", "Slot", "shard_", "slot_"]
+    rows = got.collect()
+    assert len(rows) == 40 and all(r["shard"] == "mine" and r["Slot"] == 2 * r.doc_id for r in rows) and {r["shard_"] for r in rows} == {0, 1, 2, 3}
+    assert mixing.mix(docs.withColumn("source", F.lit("a"))).columns == [*docs.columns, "source"]
+
+
 def test_shards_of_odd_documents(spark, odd, empty):
     assert shards.number(shards.assign(empty)).count() == 0
     got = shards.number(shards.assign(odd)).toPandas()
