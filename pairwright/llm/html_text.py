@@ -12,12 +12,17 @@ is no boilerplate if it holds main, the only articles, or most of the page's unl
 any name, if it holds main. Where all h1 with text stand below marks, so is one with an h1 and a quarter of that text.
 Elements that say what they are (nav, footer, aside), headers, comments and what is hidden stay marked.
 
-Votes are summed in each batch before the shuffle, so a host with a third of all pages sends a few rows a batch.
+Votes are summed in each batch before the shuffle, so a host with a third of all pages sends a few rows a batch. A path
+is named by a digest of its parent's name and its own label, so paths of any depth cost the same and none is cut; all
+work on a page is linear in its length but for end tags that match nothing near them.
 
 Defined results: null or empty html and pages without text give an empty text; an unknown or null url votes with the
-pages of no host; comments, scripts, styles and the head never count; a tag cut off at the end of a page is dropped;
-unclosed and misnested tags close where their block ends; repeated pages are extracted each; an empty table gives an
-empty result; further columns of the input are left out.
+pages of no host; comments, scripts, styles and the head never count, and an unclosed script or style takes the rest of
+the page, as in HTML; what is drawn or chosen and not read (svg, canvas, object, select, template, iframe, textarea) is
+left out with all it holds, nested ones included, and where such an element isn't closed only its tag goes; formulas
+(math) are text; a button inside a paragraph is part of it, any other one goes; a tag cut off at the end of a page is
+dropped; unclosed and misnested tags close where their block ends; repeated pages are extracted each; an empty table
+gives an empty result; further columns of the input are left out.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +43,9 @@ TAG = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)(
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: What HTML says of its elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript textarea title iframe xmp noembed noframes template svg math canvas object select".split())
+RAW = set("script style".split())
+UNREAD = set("noscript textarea title iframe xmp noembed noframes template svg canvas object select annotation annotation-xml audio video datalist map".split())
+TEXT_BLOCKS = set("p li dt dd h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption caption td th tr tbody thead summary".split())
 BLOCKS = set("address blockquote center dd details dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr li ol p pre summary table tbody td tfoot th thead tr ul caption".split())
 CONTAINERS = set("html body main article section div td blockquote ul ol dl table tbody tr center nav header footer aside form menu dialog details figure fieldset search".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead"}, "tfoot": {"tbody", "thead"}}
@@ -51,18 +59,31 @@ topnav breadcrumb breadcrumbs footer foot comment comments commentlist disqus re
 popup modal overlay toolbar pagination pager widget widgets masthead copyright disclaimer alert skip hidden""".split())
 #: Marks of replies of readers, which may be longer than the article and be articles themselves.
 REPLIES = set("comment comments commentlist disqus replies respond".split())
+#: Marks that also hold for a single block of text; the others name parts of a layout.
+BLOCK_MARKS = set("""ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored promo cookie cookies consent gdpr
+newsletter breadcrumb breadcrumbs pagination pager navbar navigation topnav commentlist disqus popup modal hidden""".split())
 HEADERS = {"header", "site-header", "page-header", "siteheader", "pageheader", "top-header", "topbar", "top-bar"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-DEEPEST = 48
 #: So many winning paths are broadcast at most; more are joined by a shuffle, which splits hot hosts.
 MOST_HOSTS = 200_000
 
 
+def matching_ends(html: str, tag: str) -> dict[int, int]:
+    """Where each element of a name that is closed ends, by the place where it starts; nested ones belong to each other."""
+    found, starts = {}, []
+    for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])([^>]*)>", html, re.I):
+        if not m[1] and not m[2].endswith("/"):
+            starts.append(m.start())
+        elif m[1] and starts:
+            found[starts.pop()] = m.end()
+    return found
+
+
 class Page:
     """Blocks of a page's text, each below a node; nodes have a parent, a path, a depth and whether they are boilerplate."""
 
     def __init__(self, html: str):
-        self.parent, self.path, self.depth, self.outside, self.head = [-1], ["#"], [0], [False], [False]
+        self.parent, self.path, self.label, self.depth, self.outside, self.head = [-1], [0], ["#"], [0], [False], [False]
         self.blocks: list[tuple[str, int, int, bool]] = []
         self.tags, self.titles = [""], []
         self.marks: dict[int, int] = {}  # marked nodes: 0 for good, 1 by a whole name, 2 by a part of a name or a form
@@ -76,6 +97,8 @@ class Page:
             found = {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(attributes)}
             names = [n for n in (found.get("class", "") + " " + found.get("id", "")).lower().split()]
             words = {w for n in names for w in re.split(r"[^a-z]+", n)}
+            if tag in TEXT_BLOCKS:
+                words &= BLOCK_MARKS
             style = found.get("style", "").replace(" ", "").lower()
             sure = found.get("role", "").lower() in ROLES - {"form"} or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
             if words & MARKS and not sure and (tag == "form" or not marked):
@@ -98,15 +121,17 @@ class Page:
             self.marks[len(self.parent)] = kind
         self.tags.append(tag)
         self.parent.append(parent)
-        deep = self.depth[parent] + 1
-        self.depth.append(deep)
-        self.path.append(f"{self.path[parent]}>{label}" if deep <= DEEPEST else self.path[parent])
+        self.depth.append(self.depth[parent] + 1)
+        self.path.append(xxhash.xxh3_64_intdigest(label, seed=self.path[parent]))
+        self.label.append(label)
         self.outside.append(marked or self.outside[parent])
         self.head.append(header or self.head[parent])
         return len(self.parent) - 1
 
     def _parse(self, html: str) -> None:
-        stack: list[tuple[str, int]] = []  # open elements but inline ones, with the node below which their text stands
+        stack: list[tuple[str, int, bool]] = []  # open elements but inline ones, with the node below which their text stands, and whether an article is open
+        opened: dict[str, int] = defaultdict(int)  # how many elements of a name are open
+        ends: dict[str, dict[int, int]] = {}
         node, links, at, end = 0, 0, 0, len(html)
         pieces: list[str] = []
         linked, heading = 0, False
@@ -122,6 +147,11 @@ class Page:
                 pieces.clear()
             linked = 0
 
+        def shut_to(k: int) -> None:
+            for name, *_ in stack[k:]:
+                opened[name] -= 1
+            del stack[k:]
+
         while at < end:
             m = TAG.search(html, at)
             text = html[at : m.start() if m else end]
@@ -142,6 +172,12 @@ class Page:
                     stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|$)", re.I).search(html, at)
                     at = stop.start() if stop else end
                 continue
+            if tag in UNREAD:
+                if not closing:
+                    if tag not in ends:
+                        ends[tag] = matching_ends(html, tag)
+                    at = ends[tag].get(m.start(), at)
+                continue
             if tag == "a":
                 links = 0 if closing else 1
                 continue
@@ -153,13 +189,15 @@ class Page:
                 continue
             if tag not in CONTAINERS and tag not in BLOCKS and tag != "head" and tag != "button":
                 continue  # inline or void
+            if tag == "button" and (not opened["button"] if closing else stack and stack[-1][0] in TEXT_BLOCKS):
+                continue  # part of its paragraph
             if tag in ("td", "th"):
                 pieces.append(" ")
             flush()
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
+                for k in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                     if stack[k][0] == tag:
-                        del stack[k:]
+                        shut_to(k)
                         break
                     if stack[k][0] in ("article", "body") and tag != "html" and tag != "body":
                         break  # an end tag that has no start in here
@@ -168,17 +206,18 @@ class Page:
                 limit = STOPS_CLOSING.get(tag, CONTAINERS)
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] in shut:
-                        del stack[k:]
+                        shut_to(k)
                         break
                     if stack[k][0] in limit:
                         break
                 if tag == "body":
                     while stack and stack[-1][0] == "head":
-                        stack.pop()
-                below = stack[-1][1] if stack else 0
+                        shut_to(len(stack) - 1)
+                below, inside = stack[-1][1:] if stack else (0, False)
                 if tag in CONTAINERS or tag in ("head", "button") or re.search("class|id|role|hidden|style", m[3]):
-                    below = self._node(tag, m[3], below, any(s[0] in ("article", "main") for s in stack))
-                stack.append((tag, below))
+                    below = self._node(tag, m[3], below, inside)
+                stack.append((tag, below, inside or tag in ("article", "main")))
+                opened[tag] += 1
             node = stack[-1][1] if stack else 0
             links = 0
             heading = bool(stack) and stack[-1][0] in HEADINGS
@@ -229,14 +268,14 @@ class Page:
 
     def scores(self) -> dict[int, int]:
         """Score of every node that holds text of the article kind."""
-        good: dict[int, int] = defaultdict(int)
+        good, held = [0] * len(self.parent), [False] * len(self.parent)
         for b in self.blocks:
-            n = len(b[0]) - 2 * b[2] if self.kept(b) else -len(b[0])
-            k = b[1]
-            while k >= 0:
-                good[k] += n
-                k = self.parent[k]
-        return {k: n for k, n in good.items() if not self.outside[k]}
+            good[b[1]] += len(b[0]) - 2 * b[2] if self.kept(b) else -len(b[0])
+            held[b[1]] = True
+        for k in range(len(self.parent) - 1, 0, -1):  # children come after their parents
+            good[self.parent[k]] += good[k]
+            held[self.parent[k]] |= held[k]
+        return {k: good[k] for k in range(len(good)) if held[k] and not self.outside[k]}
 
     def below(self, roots: set[int]) -> list[str]:
         """The kept blocks that stand below any of the nodes, in page order."""
@@ -260,11 +299,18 @@ def votes(html: str | None) -> dict[str, float]:
     total = sum(len(b[0]) for b in page.blocks if page.kept(b))
     if not scores or total <= 0:
         return {}
-    found: dict[str, float] = defaultdict(float)
+    found: dict[int, float] = defaultdict(float)
+    node = {}
     for k, n in scores.items():
         found[page.path[k]] += n / total
+        node[page.path[k]] = k
     top = max(found.values())
-    return {p: min(v, 1.0) + (0.001 * p.count(">") if v == top else 0.0) for p, v in found.items() if v >= 0.5}
+    return {name_of(page, node[p]): min(v, 1.0) + (0.001 * page.depth[node[p]] if v == top else 0.0) for p, v in found.items() if v >= 0.5}
+
+
+def name_of(page: Page, k: int) -> str:
+    """A node's path as votes have it: its digest and its own label."""
+    return f"{page.path[k]:016x}>{page.label[k]}"
 
 
 def extract(html: str | None, winner: str | None) -> str:
@@ -275,7 +321,8 @@ def extract(html: str | None, winner: str | None) -> str:
     if not scores:
         return ""
     own = best_node(page, scores)
-    roots = {k for k in scores if page.path[k] == winner}
+    path = int(winner[:16], 16) if winner else None
+    roots = {k for k in scores if page.path[k] == path}
     if not roots or 2 * sum(scores[k] for k in roots) < scores[own]:
         roots = {own}
     return "\n".join(page.below(roots))

@@ -1,7 +1,9 @@
 """Tokens, pages, quality, decontamination, licences: exact references, brute force, held-out accuracy, odd inputs."""
 
 import random
+import re
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pandas as pd
@@ -126,6 +128,78 @@ def test_hosts_vote_and_every_page_comes_back(spark):
     assert winner.winner.endswith("div.post.post-#")
 
 
+@pytest.mark.parametrize("unclosed", ["<svg viewBox='0 0 1 1'>", "<select name=x>", "<canvas>", "<math>", "<object data=x>", "<noscript>", "<iframe src=x>", "<template>"])
+def test_unclosed_elements_do_not_take_the_rest(unclosed):
+    html = f"<body><div class='post'><h1>Title</h1><p>First para.</p>{unclosed}<p>Second para of it.</p><p>Third.</p></div></body>"
+    assert html_text.extract(html, None) == "Title\nFirst para.\nSecond para of it.\nThird."
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ("<p>a <svg><svg><text>no</text></svg><text>no</text></svg> b</p>", "a b"), ("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then</p>", "if x=2 then"),
+    ("<p>press <button>Start</button> now</p>", "press Start now"), ("<p>x</p><div><button>Menu</button></div><p>y</p>", "x\ny"), ("<p>a</p><select><option>b</select><p>c</p>", "a\nc"),
+    ("<div class='post'><p>one of the words</p><p class='side'>two of the words</p><p class='foot-note'>three</p><p class='alert'>four</p><p class='ad'>five</p></div>", "one of the words\ntwo of the words\nthree\nfour"),
+])
+def test_what_belongs_to_a_paragraph(html, text):
+    assert html_text.extract(html, None) == text
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        text = html_text.extract("<div class=a>" * n + "<p>some text</p>" * n + "</section>" * n + "</div>" * n, None)
+        assert text == "\n".join(["some text"] * n)
+        return time.perf_counter() - began
+
+    seconds(200)
+    assert seconds(12_000) < 20 * max(seconds(1_500), 0.02)
+
+
+class SlowReader(HTMLParser):
+    """An independent reader for the given pages: the tree by the library's parser, then every block of the element article."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.open, self.blocks = [], [[]]
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_text.VOID:
+            self.blocks[-1].append(" ")
+        elif tag in html_text.BLOCKS | html_text.CONTAINERS:
+            self.blocks.append([])
+        if tag not in html_text.VOID:
+            marked = tag in ("nav", "footer", "header", "aside", "form", "script", "style", "head") or dict(attrs).get("class") in ("ad", "sidebar", "comments", "cookie", "newsletter")
+            self.open.append((tag, marked))
+
+    def handle_endtag(self, tag):
+        if tag in html_text.BLOCKS | html_text.CONTAINERS:
+            self.blocks.append([])
+        if tag in [t for t, _ in self.open]:
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if any(t in ("article", "main") for t, _ in self.open) and not any(marked for _, marked in self.open):
+            self.blocks[-1].append(data)
+
+    def text(self):
+        return "\n".join(t for b in self.blocks if (t := " ".join("".join(b).split())))
+
+
+def test_every_given_page_reads_as_a_slow_reader_has_it(spark):
+    for sf in (SMALL, "/root/testdata/sf0.01"):
+        rows = spark.read.parquet(f"{sf}/pages.parquet")
+        got = {r.page_id: r.text for r in html_text.extract_text(rows).collect()}
+        pages = rows.collect()
+        assert len(got) == len(pages)
+        plain = [p for p in pages if p.html and re.search("<article|<main", p.html)]
+        assert len(plain) > 0.2 * len(pages)
+        assert [p.page_id for p in plain if got[p.page_id] != SlowReader(p.html).text()] == []
+
+
 def test_a_very_deep_page():
     assert html_text.extract("<div>" * 3000 + "deep" + "</div>" * 3000, None) == "deep"
 
