@@ -369,6 +369,72 @@ def test_word_windows_match_brute_force():
         assert (at >= 0) == (max(scores) >= matcher.threshold) and (at < 0 or scores[at] == pytest.approx(max(scores)))
 
 
+def test_windows_with_key_words_match_brute_force():
+    matcher, rng = licenses.Matcher(), random.Random(7)
+    pool = sorted(matcher.idf) + ["zq"] * 40
+    for _ in range(120):
+        k = rng.randrange(len(matcher.vectors))
+        notice = [w for w in licenses.terms_of([t for texts in licenses.TEMPLATES.values() for t in texts][k]) if rng.random() < 0.93]
+        terms = [rng.choice(pool) for _ in range(rng.randrange(40))] + notice + [rng.choice(pool) for _ in range(rng.randrange(40))]
+        size = min(matcher.lengths[k], len(terms))
+
+        def score(at, k=k, terms=terms, size=size):
+            window = Counter(terms[at : at + size])
+            if not matcher.keys[k] <= set(window) or matcher.others[k] & set(window):
+                return 0.0
+            return sum(x * matcher.vectors[k].get(w, 0.0) for w, x in matcher.vector(window).items())
+
+        scores = [score(at) for at in range(len(terms) - size + 1)]
+        at = matcher.slide(terms, k, True)
+        assert (at >= 0) == (max(scores, default=0) >= matcher.threshold) and (at < 0 or scores[at] == pytest.approx(max(scores)))
+        assert (max(scores, default=0) < matcher.threshold) or k in matcher.possible(terms)
+
+
+RELATIVES = [
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1", "LGPL-2.1"), ("licensed under the GNU Lesser General Public License, version 3", "LGPL-3.0"), ("Licensed under CC BY-ND 4.0", "CC-BY-ND-4.0"), ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"),
+    ("// SPDX-License-Identifier: AGPL-3.0", "AGPL-3.0"), (licenses._BSD_HEAD + "\n\n" + licenses._BSD_TAIL, "BSD-2-Clause"), (licenses._BSD_HEAD + "\n" + licenses._BSD_NAMES + "\n" + licenses._BSD_TAIL, "BSD-3-Clause"),
+    ("You are free to use it: Licensed under CC BY 3.0.", None), ("licensed under the GNU General Public License, version 4", None), ("Released under the Apache License, Version 1.1", None), ("released under pressure, the license of the poet", None),
+]
+
+
+@pytest.mark.parametrize(("text", "name"), RELATIVES)
+def test_relatives_are_told_apart(text, name):
+    rng = random.Random(3)
+    filler = " ".join(f"zq{rng.randrange(10**6)}" for _ in range(40))
+    for around in (text, f"{filler} {text} {filler}"):
+        assert licenses.Matcher().scan(around)[0] == name
+
+
+def test_edited_notices_are_found_at_every_place():
+    """Recall against brute force over all spans: a template with words dropped or changed, anywhere in a long text."""
+    matcher, rng, texts = licenses.Matcher(), random.Random(12), [(n, t) for n, ts in licenses.TEMPLATES.items() for t in ts]
+    found = want = 0
+    for _ in range(150):
+        name, t = rng.choice(texts)
+        words = t.split()
+        words = [w if rng.random() < 0.95 else f"zq{rng.randrange(99)}" for w in words]
+        text = " ".join([f"zq{rng.randrange(10**6)}" for _ in range(rng.randrange(300))] + words + [f"zq{rng.randrange(10**6)}" for _ in range(rng.randrange(300))])
+        terms = licenses.terms_of(text)
+        reach = 0.0
+        for k, other in enumerate(matcher.names):
+            if other == name:
+                for at in range(max(1, len(terms) - matcher.lengths[k] + 1)):
+                    window = Counter(terms[at : at + matcher.lengths[k]])
+                    if matcher.keys[k] <= set(window) and not matcher.others[k] & set(window) and sum(matcher.vectors[k].get(w, 0) ** 2 for w in window) > 0.5:
+                        reach = max(reach, sum(x * matcher.vectors[k].get(w, 0.0) for w, x in matcher.vector(window).items()))
+        if reach >= matcher.threshold:
+            want += 1
+            found += matcher.scan(text)[0] == name
+    assert want > 100 and found >= 0.95 * want
+
+
+def test_columns_named_as_the_results_pass_through(spark):
+    files = spark.createDataFrame([("LICENSE", "Released under the MIT License.", "p", "mine", "x", 1), ("a/b.txt", "q", "p2", "mine2", "y", 2)], "path string, text string, passage string, license string, own_license string, inherited_from int")
+    got = {r.path: r for r in licenses.inherit(licenses.scan_files(files)).collect()}
+    assert got["a/b.txt"].license == "mine2" and got["a/b.txt"]["license_"] == "MIT" and got["a/b.txt"]["inherited_from_"] == "LICENSE" and got["a/b.txt"].inherited_from == 2
+    assert got["LICENSE"].passage == "p" and got["LICENSE"]["passage_"] == "Released under the MIT License" and got["LICENSE"].own_license == "x" and got["LICENSE"]["own_license_"] == "MIT"
+
+
 def test_inheritance_goes_to_the_nearest_directory(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [("LICENSE", mit), ("a/b/COPYING", gpl), ("a/x.txt", "q"), ("a/b/c/d.txt", "q"), ("z.txt", ""), ("a/b/own.txt", mit), (None, "q"), ("a/b/c/d.txt", "q"), ("a/bb/y", None), ("n/LICENSE", "nothing here")]
