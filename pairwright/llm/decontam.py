@@ -2,8 +2,9 @@
 
 The benchmark is the indexed side. Each item's impacts are divided by the score it gets from itself, so one threshold
 holds for all: a passage is retrieved with an item when it carries at least that share of the item's BM25 mass. A
-passage is a window of two steps of words, begun at every step; a step is at least as long as the longest item, so an
-item that stands in a document stands whole in one window. Per document, numpy sums the largest impact of each
+passage is a window of two steps of words, begun at every step. Items are indexed by classes of length, whose step is
+the power of two that their longest item fits in, so that an item which stands in a document stands whole in one window
+and a long item widens the windows of no shorter one. Per document, numpy sums the largest impact of each
 distinct indexed word of every window within each of up to RANGES ranges of items (items are ordered by length, so
 that the short ones, where a common word weighs much, stand together); only windows and ranges whose sum reaches the
 threshold can hold a hit and go to WAND, which looks at the upper bounds of whole posting lists, then of blocks,
@@ -12,10 +13,11 @@ the word 3-grams of both the item's question (its first two thirds, unless the b
 answer) and its answer must be found in the passage.
 
 The index is broadcast. It holds at most ITEMS_A_BLOCK items; a larger benchmark is cut into blocks by digest of the
-item, and every document is matched with each block in turn. Item counts, document frequencies, lengths and the window
-step are those of the whole benchmark, so scores and hits are the same for blocks of any size.
+item, and every document is matched with each block in turn. Item counts, document frequencies and lengths are those of
+the whole benchmark, so scores and hits are the same for blocks of any size.
 
-Defined results: null and empty texts and items without words match nothing; case and punctuation don't count;
+Defined results: ids of items and documents may have any type; null and empty texts and items without words match
+nothing; case and punctuation don't count;
 items of fewer than three words are verified by shorter n-grams; repeated rows are matched each; an item that occurs
 often in a document gives one row, that of its best passage; an empty table on either side gives an empty result.
 """
@@ -32,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .util import lean_batches, materialize, table, without_ids
 
@@ -95,14 +98,18 @@ class Cursor:
 
 @dataclass
 class Whole:
-    """Of all items with words: how many, their words, the words of the longest; df of the words of one block among all items."""
+    """Of all items with words: how many, their words; df of the words of one block among all items."""
 
     items: int
     words: int
-    longest: int
     df: dict[str, int]
 
 
+def step_for(words: int) -> int:
+    """The step of the class of items of so many words."""
+    return max(STEP, 1 << (words - 1).bit_length())
+
+
 class ItemIndex:
     """The inverted index of a block of items."""
 
@@ -113,9 +120,9 @@ class ItemIndex:
         self.checks = [(n := min(GRAM, len(q) or GRAM), grams(q, n), m := min(GRAM, len(a) or GRAM), grams(a, m)) for _, q, a in items]
         counts = [Counter(q + a) for _, q, a in items]
         sizes = [sum(c.values()) for c in counts]
-        whole = whole or Whole(len(items), sum(sizes), max(sizes, default=0), Counter(w for c in counts for w in c))
+        whole = whole or Whole(len(items), sum(sizes), Counter(w for c in counts for w in c))
         mean = whole.words / max(whole.items, 1)
-        self.step = max(STEP, whole.longest)
+        self.step = step_for(max(sizes, default=1))
         df = dict.fromkeys(w for c in counts for w in c)
         idf = {w: float(np.log1p((whole.items - whole.df[w] + 0.5) / (whole.df[w] + 0.5))) for w in df}
         self.terms = {w: k for k, w in enumerate(df)}
@@ -205,8 +212,19 @@ class ItemIndex:
         return [(self.ids[k], *v) for k, v in sorted(best.items())]
 
 
+def by_length(items: list[tuple[int, list[str], list[str]]], whole: Whole | None = None) -> list[ItemIndex]:
+    """An index for each class of length, with the statistics of all items."""
+    items = [i for i in items if i[1] or i[2]]
+    if whole is None:
+        whole = Whole(len(items), sum(len(q) + len(a) for _, q, a in items), Counter(w for _, q, a in items for w in {*q, *a}))
+    classes: dict[int, list] = {}
+    for i in items:
+        classes.setdefault(step_for(len(i[1]) + len(i[2])), []).append(i)
+    return [ItemIndex(part, whole) for _, part in sorted(classes.items())]
+
+
 def item_statistics(items: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(items, words, longest) in one row, and (block, word, n): the words of each block with their df among all items; `items` has block."""
+    """(items, words) in one row, and (block, word, n): the words of each block with their df among all items; `items` has block."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -214,14 +232,14 @@ def item_statistics(items: DataFrame, columns: list[str]) -> tuple[DataFrame, Da
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.string()))], names=["block", "size", "held"])
 
     sized = materialize(items.select("block", *columns).mapInArrow(cut, "block long, size long, held array<string>"), "items").filter("size > 0")
-    totals = sized.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("size"), F.lit(0)).alias("words"), F.coalesce(F.max("size"), F.lit(0)).alias("longest"))
+    totals = sized.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("size"), F.lit(0)).alias("words"))
     held = sized.select("block", F.explode("held").alias("word")).groupBy("block", "word").agg(F.count(F.lit(1)).alias("k"))
     every = held.groupBy("word").agg(F.sum("k").alias("n"))
     return totals, materialize(held.join(every, "word").select("block", "word", "n"), "items-df")
 
 
-def indexes(benchmark: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> Iterator[ItemIndex]:
-    """One index for each block of items; each block is collected alone."""
+def indexes(benchmark: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> Iterator[list[ItemIndex]]:
+    """The indexes of each block of items; each block is collected alone."""
     columns = ["question", "answer"] if {"question", "answer"} <= set(benchmark.columns) else ["text"]
     items = benchmark.select("item_id", *columns)
     blocks = -(-items.count() // items_a_block)
@@ -239,7 +257,7 @@ def indexes(benchmark: DataFrame, items_a_block: int = ITEMS_A_BLOCK) -> Iterato
                 rows.append((r["item_id"], words[:cut], words[cut:]))
             else:
                 rows.append((r["item_id"], words_of(r["question"]), words_of(r["answer"])))
-        yield ItemIndex(rows, None if blocks == 1 else Whole(*totals, {r["word"]: r["n"] for r in df.filter(F.col("block") == k).toLocalIterator()}))
+        yield by_length(rows, None if blocks == 1 else Whole(*totals, {r["word"]: r["n"] for r in df.filter(F.col("block") == k).toLocalIterator()}))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -247,6 +265,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     types, kind = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
     schema = f"doc_id {types}, item_id {kind}, score double, question_overlap double, answer_overlap double, first_word long"
     lean_batches(docs.sparkSession)
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     found = docs.sparkSession.createDataFrame([], schema)
     for k, index in enumerate(indexes(benchmark)):
         sent = docs.sparkSession.sparkContext.broadcast(index)
@@ -256,11 +275,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for b in batches:
                 rows, hits = [], []
                 for i, text in enumerate(b.column(1)):
-                    for hit in sent.value.leaks(text.as_py()):
-                        rows.append(i)
-                        hits.append(hit)
+                    value = text.as_py()
+                    for one in sent.value:
+                        for hit in one.leaks(value):
+                            rows.append(i)
+                            hits.append(hit)
                 ids = b.column(0).take(pa.array(rows, pa.int64()))
-                item_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else None
                 yield pa.RecordBatch.from_arrays([ids, pa.array([h[0] for h in hits], item_type), *[pa.array([h[j] for h in hits], pa.float64()) for j in (1, 2, 3)], pa.array([h[4] for h in hits], pa.int64())], names=names)
 
         part = docs.select("doc_id", "text").mapInArrow(match, schema)
