@@ -6,7 +6,8 @@ documents of a batch and all trees at once in numpy. The model is fitted on at m
 the smallest digest of their id: that bound is a parameter and the only bound; every document is scored.
 
 Defined results: null and empty texts have the statistics of a text without words and get a score like any other;
-labels without a quality, without a document or repeated are left out, or count each, in fitting; without any label to
+labels without a quality or without a document are left out in fitting, repeated ones count once; of documents that
+share a labelled id one counts, that of the largest statistics; without any label to
 learn from every score is 0.5; repeated rows get equal scores; an empty table gives an empty result; `score` passes
 further columns of the input through.
 """
@@ -150,17 +151,18 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Forest:
     """Fit on the labelled rows that aren't held out, at most `fit_rows` of them."""
-    learn = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "quality")
+    learn = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     learn = learn.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "quality").limit(fit_rows)
     lean_batches(docs.sparkSession)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(learn), "doc_id")  # at most fit_rows rows
+    chosen = docs.select("doc_id", "text").join(F.broadcast(learn), "doc_id").select(learn["doc_id"], "text", "quality")  # at most fit_rows rows
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = np.array([statistics(t.as_py()) for t in b.column(0)]).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["quality", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "quality", "x"])
 
-    rows = chosen.select("text", F.col("quality").cast("int").alias("quality")).mapInArrow(measure, "quality int, x array<double>").toArrow()
+    measured = chosen.select("text", "doc_id", "quality").mapInArrow(measure, f"doc_id {dict(labels.dtypes)['doc_id']}, quality int, x array<double>")
+    rows = measured.groupBy("doc_id", "quality").agg(F.max("x").alias("x")).toArrow()  # a row for each of learn
     y = np.array(rows["quality"].to_pylist(), float)
     x = np.array(rows["x"].to_pylist()).reshape(-1, len(FEATURES))
     return fit(x, y) if len(y) else fit(np.zeros((2, len(FEATURES))), np.array([0.0, 1.0]))
