@@ -1,10 +1,13 @@
 """Media columns: payloads in archives on shared storage, and a Spark data source that reads them by byte range.
 
 `write_archives` packs a payload of each row into zip archives (members stored as they are) and returns a manifest with
-the archives of the tasks that Spark committed, so retried or speculative tasks leave no row twice. The data source
-"media_archive" plans byte ranges over the archives of a manifest. A task reads the directory at an archive's end,
-takes the members that begin in its range, and streams them in Arrow batches of bounded size. A member whose bytes
-can't be read or don't match their checksum is read again, alone, by its offset through a newly opened file.
+the archives of the tasks that Spark committed, so retried or speculative tasks leave no row twice. Members are written
+to storage as they come; a worker holds one of them and the directory of one archive. The data source "media_archive"
+plans byte ranges over the archives of a manifest: a partition holds one or more ranges, of RANGE_BYTES together or of
+as many as keep the partitions at MOST_PARTITIONS. A task reads the directory at an archive's end, takes the members
+that begin in its range, and streams them in Arrow batches of bounded size. A member whose bytes can't be read or don't
+match their checksum is read again, alone, by its offset through a newly opened file; a directory is read again too.
+Paths without a scheme are given the one of the cluster's file system when archives are written.
 
 The media form used here is an 8-bit greyscale PNG, 192 samples wide, with the unpadded length in a text chunk; it is
 lossless and depends on the payload alone.
@@ -17,7 +20,6 @@ of the input are left out.
 from __future__ import annotations
 
 import hashlib
-import io
 import struct
 import time
 import uuid
@@ -31,13 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .util import lean_batches, scratch, table
+from .util import lean_batches, qualified, scratch, table
 
 WIDTH = 192
 #: zlib's level; the same bytes come out for the same payload.
 LEVEL = 2
-ARCHIVE_BYTES = 16 << 20
+ARCHIVE_BYTES = 64 << 20
 RANGE_BYTES = 8 << 20
+MOST_PARTITIONS = 20_000
 BATCH_BYTES = 4 << 20
 ATTEMPTS = 4
 
@@ -97,68 +100,102 @@ def feature_of(payload: bytes) -> str:
 
 def write_archives(rows: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write rows of (id, text) as images into archives below `path`; returns the manifest (archive, bytes, members)."""
-    folder = f"{path}/archives"
+    folder = f"{qualified(rows.sparkSession, path)}/archives"
     store, at = open_store(folder)
     store.create_dir(at, recursive=True)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, at = open_store(folder)
         done: list[tuple[str, int, int]] = []
-        buffer, members = io.BytesIO(), 0
-        archive = zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED)
+        name, out, archive, members = "", None, None, 0
 
         def close() -> None:
-            nonlocal buffer, members, archive
             archive.close()
-            if members:
-                name = f"{uuid.uuid4().hex}.zip"
-                with store.open_output_stream(f"{at}/{name}") as out:
-                    out.write(buffer.getbuffer())
-                done.append((f"{folder}/{name}", buffer.tell(), members))
-            buffer, members = io.BytesIO(), 0
-            archive = zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED)
+            done.append((f"{folder}/{name}", out.tell(), members))
+            out.close()
 
         for b in batches:
             for key, text in zip(b.column(0), b.column(1), strict=True):
+                if archive is None:
+                    name, members = f"{uuid.uuid4().hex}.zip", 0
+                    out = store.open_output_stream(f"{at}/{name}")
+                    archive = zipfile.ZipFile(out, "w", zipfile.ZIP_STORED)
                 length, payload = payload_of(text.as_py())
-                name = f"{members}" if key.as_py() is None else f"{members}/{key.as_py()}"
-                archive.writestr(zipfile.ZipInfo(name), encode_png(payload, length))
+                member = f"{members}" if key.as_py() is None else f"{members}/{key.as_py()}"
+                archive.writestr(zipfile.ZipInfo(member), encode_png(payload, length))
                 members += 1
-                if buffer.tell() >= archive_bytes:
+                if out.tell() >= archive_bytes:
                     close()
-        close()
+                    archive = None
+        if archive is not None:
+            close()
         yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64())], names=["archive", "bytes", "members"])
 
     return rows.mapInArrow(pack, "archive string, bytes long, members long")
 
 
 class ArchiveRange(InputPartition):
-    def __init__(self, archive: str, first: int, stop: int):
-        self.archive, self.first, self.stop = archive, first, stop
+    """Ranges (archive, first, stop) of archives: the members that begin in them."""
 
+    def __init__(self, ranges: list[tuple[str, int, int]]):
+        self.ranges = ranges
 
-def read_member(path: str, info: zipfile.ZipInfo, opened: dict) -> bytes:
-    """The bytes of a member by its offset; tried again, with a newly opened file, where reading fails or the checksum differs."""
+
+def again(what: str, attempt_once):
+    """The result of attempt_once(attempt), tried ATTEMPTS times where storage fails or bytes are broken."""
     why: Exception | None = None
     for attempt in range(ATTEMPTS):
         try:
-            if attempt or "file" not in opened:
-                store, at = open_store(path)
-                opened["file"] = store.open_input_file(at)
-            f = opened["file"]
-            f.seek(info.header_offset)
-            head = f.read(30)
-            if head[:4] != b"PK\x03\x04":
-                raise OSError("no member begins here")
-            f.seek(info.header_offset + 30 + sum(struct.unpack("<HH", head[26:30])))
-            data = f.read(info.compress_size)
-            if len(data) != info.compress_size or zlib.crc32(data) != info.CRC:
-                raise OSError("the checksum differs")
-            return data
-        except OSError as e:
+            return attempt_once(attempt)
+        except (OSError, zipfile.BadZipFile) as e:
             why = e
             time.sleep(0.05 * 4**attempt)
-    raise OSError(f"{path}, member at {info.header_offset}: {why}")
+    raise OSError(f"{what}: {why}")
+
+
+def read_directory(path: str) -> list[zipfile.ZipInfo]:
+    def once(_: int) -> list[zipfile.ZipInfo]:
+        store, at = open_store(path)
+        with zipfile.ZipFile(store.open_input_file(at)) as z:
+            return z.infolist()
+
+    return again(f"{path}, directory", once)
+
+
+def read_member(path: str, info: zipfile.ZipInfo, opened: dict) -> bytes:
+    """The bytes of a member by its offset; tried again, with a newly opened file, where reading fails or the checksum differs."""
+
+    def once(attempt: int) -> bytes:
+        if attempt or "file" not in opened:
+            store, at = open_store(path)
+            opened["file"] = store.open_input_file(at)
+        f = opened["file"]
+        f.seek(info.header_offset)
+        head = f.read(30)
+        if head[:4] != b"PK\x03\x04":
+            raise OSError("no member begins here")
+        f.seek(info.header_offset + 30 + sum(struct.unpack("<HH", head[26:30])))
+        data = f.read(info.compress_size)
+        if len(data) != info.compress_size or zlib.crc32(data) != info.CRC:
+            raise OSError("the checksum differs")
+        return data
+
+    return again(f"{path}, member at {info.header_offset}", once)
+
+
+def plan_ranges(archives: list[tuple[str, int]], range_bytes: int, most: int = MOST_PARTITIONS) -> list[list[tuple[str, int, int]]]:
+    """Ranges by partition: pieces of archives, or whole archives together, of `range_bytes`, or more where partitions would be more than `most`."""
+    range_bytes = max(range_bytes, -(-sum(size for _, size in archives) // most))
+    found, now, held = [], [], 0
+    for archive, size in archives:
+        for first in range(0, size, range_bytes):
+            stop = min(first + range_bytes, size)
+            if now and held + stop - first > range_bytes:
+                found.append(now)
+                now, held = [], 0
+            now.append((archive, first, stop))
+            held += stop - first
+    return found + [now] if now else found
 
 
 class MediaReader(DataSourceReader):
@@ -170,30 +207,25 @@ class MediaReader(DataSourceReader):
 
         store, at = open_store(self.archives)
         manifest = ds.dataset(at, filesystem=store, format="parquet").to_table(columns=["archive", "bytes"]).sort_by("archive")
-        found = []
-        for archive, size in zip(manifest["archive"].to_pylist(), manifest["bytes"].to_pylist(), strict=True):
-            found += [ArchiveRange(archive, first, first + self.range) for first in range(0, size, self.range)]
-        return found or [ArchiveRange("", 0, 0)]
+        planned = plan_ranges(list(zip(manifest["archive"].to_pylist(), manifest["bytes"].to_pylist(), strict=True)), self.range)
+        return [ArchiveRange(ranges) for ranges in planned] or [ArchiveRange([])]
 
     def read(self, partition: ArchiveRange) -> Iterator[pa.RecordBatch]:
         def batch(keys: list, media: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(media, pa.binary())], names=["key", "media"])
 
-        if not partition.archive:
-            return
-        store, at = open_store(partition.archive)
-        with zipfile.ZipFile(store.open_input_file(at)) as z:
-            members = [i for i in z.infolist() if partition.first <= i.header_offset < partition.stop]
-        opened: dict = {}
         keys, media, held = [], [], 0
-        for info in sorted(members, key=lambda i: i.header_offset):
-            data = read_member(partition.archive, info, opened)
-            keys.append(info.filename.partition("/")[2] if "/" in info.filename else None)
-            media.append(data)
-            held += len(data)
-            if held >= BATCH_BYTES:
-                yield batch(keys, media)
-                keys, media, held = [], [], 0
+        for archive, first, stop in partition.ranges:
+            opened: dict = {}
+            members = [i for i in read_directory(archive) if first <= i.header_offset < stop]
+            for info in sorted(members, key=lambda i: i.header_offset):
+                data = read_member(archive, info, opened)
+                keys.append(info.filename.partition("/")[2] if "/" in info.filename else None)
+                media.append(data)
+                held += len(data)
+                if held >= BATCH_BYTES:
+                    yield batch(keys, media)
+                    keys, media, held = [], [], 0
         if keys:
             yield batch(keys, media)
 

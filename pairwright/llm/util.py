@@ -28,8 +28,13 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pairwright-"))
         found = spark.sparkContext.getCheckpointDir()
-    path = spark._jvm.org.apache.hadoop.fs.Path(found)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    return qualified(spark, found)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme of the file system that the cluster means by it."""
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return held.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(held).toString().rstrip("/")
 
 
 def scratch(spark: SparkSession, label: str) -> str:
