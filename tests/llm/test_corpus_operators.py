@@ -325,6 +325,39 @@ def test_ranges_cover_every_member_once(spark, tmp_path):
         assert sorted(int(r.key) for r in got.select("key").collect()) == list(range(300))
 
 
+def test_ranges_scale_with_the_archives():
+    archives = [(f"a{i}", 1000 + i) for i in range(50)]
+    for size, most in ((100, 10_000), (2500, 10_000), (100, 7), (10**9, 3)):
+        planned = media.plan_ranges(archives, size, most)
+        assert len(planned) <= 2 * most
+        pieces = sorted(r for part in planned for r in part)
+        assert sum(b - a for _, a, b in pieces) == sum(n for _, n in archives)
+        for name, n in archives:
+            mine = [(a, b) for x, a, b in pieces if x == name]
+            assert mine[0][0] == 0 and mine[-1][1] == n and all(x[1] == y[0] for x, y in zip(mine, mine[1:], strict=False))
+    assert media.plan_ranges([], 5) == []
+
+
+def test_directories_are_read_again(tmp_path, monkeypatch):
+    path = str(tmp_path / "a.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("0/1", b"abc")
+    whole, fails, real = open(path, "rb").read(), [], media.open_store
+
+    def open_store(p):
+        if len(fails) < 2:
+            fails.append(1)
+            if len(fails) == 1:
+                raise OSError("gone")
+            open(path, "wb").write(whole[:-30])
+        else:
+            open(path, "wb").write(whole)
+        return real(p)
+
+    monkeypatch.setattr(media, "open_store", open_store)
+    assert [i.filename for i in media.read_directory(path)] == ["0/1"]
+
+
 def test_members_are_read_again_alone(tmp_path):
     path = str(tmp_path / "a.zip")
     with zipfile.ZipFile(path, "w") as z:

@@ -55,6 +55,19 @@ def test_words_cut_at_white_space_give_whole_counts(text):
     assert lengths.total(text) == len(Tokenizer.from_file(path).encode(text, add_special_tokens=False))
 
 
+def test_the_table_holds_the_corpus_frequent_words(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"größer größer größer 的 的 的 rare{i} ñandú ñandú") for i in range(40)] + [(99, None), (98, "")], "doc_id long, text string")
+    assert tokens.count_words(docs, 3) == ["größer", "的", "ñandú"]
+    monkeypatch.setattr(tokens, "COUNTED_WORDS", 20)
+    assert tokens.count_words(docs, 3) == ["größer", "的", "ñandú"]
+    path = tokens.vocabulary_path()
+    words = ["größer", "的", "ñandú", "a<|endoftext|>b", "x" * 400]
+    table = tokens.frequent_words(path, words)
+    alone = tokens.WordLengths(path)
+    assert table.find([*words, "other"]) == {w: alone.total(w) for w in words}
+    assert tokens.frequent_words(path, []).find(["a"]) == {}
+
+
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_WORDS", 10)
     path = tokens.vocabulary_path()
@@ -224,6 +237,15 @@ def test_labels_that_are_held_out_do_not_count(spark):
     assert (a.value == b.value).all() and a.base == b.base
 
 
+def test_rows_that_share_a_labelled_id_count_once(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    seen, real = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(y)) or real(x, y))
+    a = quality.train(docs, labels)
+    b = quality.train(docs.unionByName(docs).unionByName(docs), labels.unionByName(labels))
+    assert seen[0] == seen[1] and (a.value == b.value).all()
+
+
 def test_quality_of_odd_inputs(spark, odd):
     none = spark.createDataFrame([(1, None, None), (None, 1, 0), (99, 0, 0)], "doc_id long, quality int, toxic int")
     forest = quality.train(odd, none)
@@ -325,6 +347,27 @@ def test_blocks_of_items_give_the_same_scores(spark, items, monkeypatch):
         assert sorted(map(tuple, decontam.find_leaks(docs, bench).collect())) == whole
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "string", "decimal(12,0)"])
+def test_ids_of_any_type(spark, items, kind):
+    docs = spark.createDataFrame([(1, "x " + " ".join(items[3][1])), (2, "none"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items[:100]], "item_id long, text string")
+    F = decontam.F
+    got = decontam.find_leaks(docs.withColumn("doc_id", F.col("doc_id").cast(kind)), bench.withColumn("item_id", F.col("item_id").cast(kind)))
+    assert [(str(r.doc_id), str(r.item_id)) for r in got.collect()] == [("1", str(items[3][0]))] and dict(got.dtypes)["item_id"] == kind
+
+
+def test_a_long_item_does_not_widen_the_windows_of_others(spark, items):
+    rng = random.Random(1)
+    filler = lambda n: " ".join(f"zq{rng.randrange(10**6)}" for _ in range(n))
+    long = filler(700)
+    docs = spark.createDataFrame([(1, filler(500) + " " + long + " " + filler(500)), (2, filler(90) + " " + " ".join(items[5][1]) + " " + filler(90))], "doc_id long, text string")
+    bench = [(i, " ".join(w)) for i, w in items]
+    with_long = decontam.find_leaks(docs, spark.createDataFrame([*bench, (999, long)], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in with_long} == {(1, 999), (2, items[5][0])}
+    indexes = decontam.by_length([(i, w[:4], w[4:]) for i, w in [*items, (999, long.split())]])
+    assert [x.step for x in indexes][0] == 64 and indexes[-1].step == 1024
+
+
 # Licences
 
 
