@@ -49,6 +49,8 @@ LEAST_DF, COUNTED_WORDS = 8, 250_000
 BLOCK = 1024
 #: Bits of the sketch that filters group pairs.
 SKETCH = 256
+#: Lists of up to so many members are compared without arrays; results leave a worker so many rows at a time.
+SHORT, SENT_ROWS = 24, 8192
 #: So many narrow rows are broadcast at most; more are joined by a shuffle.
 MOST_BROADCAST = util.MOST_BROADCAST
 CACHED_WORDS = 150_000
@@ -83,11 +85,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingle_set(words: list[bytes], k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def shingle_set(words: list[bytes], k: int = WORDS, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle digests, and for each the position of its first word; texts of fewer words have one."""
     if not words:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h = hashes_of(words) if hashes is None else hashes
     n = len(words) - k + 1
     if n < 1:
         h, n, width = np.append(h, np.uint64(len(words))), 1, len(words) + 1
@@ -137,12 +143,11 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT_WORDS) -> tuple[np.ndar
     return words[order], rows["level"].to_numpy().astype(np.uint8)[order]
 
 
-def _levels(words: list[bytes], table_: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def _levels(h: np.ndarray, table_: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The log2 document count of each word, 0 for rare ones."""
     hashes, levels = table_
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
     if not len(hashes):
-        return np.zeros(len(words), np.uint8)
+        return np.zeros(len(h), np.uint8)
     at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
     return np.where(hashes[at] == h, levels[at], 0).astype(np.uint8)
 
@@ -160,11 +165,12 @@ def sketch_of(s: np.ndarray) -> bytes:
 
 def prefix_of(words: list[bytes], table_: tuple[np.ndarray, np.ndarray], percent: int = PERCENT, k: int = WORDS) -> tuple[int, int, np.ndarray, bytes, bytes]:
     """Size of the set, its digest, the prefix's shingles in the one order of all shingles, the set's bitmap and sketch."""
-    s, first = shingle_set(words, k)
+    h = hashes_of(words)
+    s, first = shingle_set(words, k, h)
     n = len(s)
     if not n:
         return 0, 0, s, b"", b""
-    level = _levels(words, table_)
+    level = _levels(h, table_)
     rank = level[: len(words) - k + 1] if len(words) >= k else level[:1]
     for i in range(1, k if len(words) >= k else 1):
         rank = np.minimum(rank, level[i : i + len(rank)])
@@ -257,6 +263,8 @@ def near_groups(left: list[tuple], right: list[tuple] | None, percent: int) -> d
 
     A group of several sets has no sketch (null), and is told apart by size and place alone.
     """
+    if len(left) + len(right or []) <= SHORT:
+        return near_few(left, right, percent)
     members = left + (right or [])
     m, cut = len(members), len(left)
     n, place = np.array([x[1] for x in members], np.int64), np.array([x[2] for x in members], np.int64)
@@ -280,10 +288,34 @@ def near_groups(left: list[tuple], right: list[tuple] | None, percent: int) -> d
     return {int(ids[x]): int(low[label[x]]) for x in np.flatnonzero(hit_any)}
 
 
+def near_few(left: list[tuple], right: list[tuple] | None, percent: int) -> dict[int, int]:
+    """`near_groups` of a short list, which most are."""
+    members, cut = left + (right or []), len(left)
+    m = len(members)
+    sketch = [None if x[3] is None else int.from_bytes(x[3]) for x in members]
+    label: list[int | None] = [None] * m  # of the members with a hit
+    for x in range(m - 1 if right is None else cut):
+        _, n, place, _ = members[x]
+        for y in range(x + 1 if right is None else cut, m):
+            _, n2, place2, _ = members[y]
+            if (100 + percent) * min(n - place, n2 - place2) >= percent * (n + n2) and 100 * min(n, n2) >= percent * max(n, n2):
+                if sketch[x] is None or sketch[y] is None or (100 + percent) * (sketch[x] ^ sketch[y]).bit_count() <= (100 - percent) * (n + n2):
+                    a, b = (z if label[z] is None else label[z] for z in (x, y))
+                    label[x], label[y] = (a if label[x] is None else label[x]), (b if label[y] is None else label[y])
+                    if a != b:
+                        label = [min(a, b) if v == max(a, b) else v for v in label]
+    low: dict[int, int] = {}
+    for x, v in enumerate(label):
+        if v is not None:
+            low[v] = min(low.get(v, members[x][0]), members[x][0])
+    return {members[x][0]: low[v] for x, v in enumerate(label) if v is not None}
+
+
 def candidate_groups(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges (a, b) between groups that may be linked; groups: group, n, prefix, sketch, a materialized table."""
     rows = groups.select("group", "n", F.posexplode("prefix").alias("place", "shingle"))
-    shared = few(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("shingle"), "jaccard-shared")
+    first = (100 + percent) * (F.col("n") - F.col("place")) >= 2 * percent * F.col("n")  # where a link's smaller set has its first common shingle
+    shared = few(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.max(first).alias("f")).filter("k > 1 AND f").select("shingle"), "jaccard-shared")
     listed = materialize(rows.join(shared, "shingle", "left_semi"), "jaccard-lists")
     dealt = with_tasks(listed, "shingle", "group", percent)
     sketches = groups.select("group", "sketch").join(listed.select("group").distinct(), "group", "left_semi")
@@ -403,25 +435,30 @@ def by_block(dealt: DataFrame, key: str, fields: list[str], task, names: list[st
     rows = rows.repartition(parts, key, "i", "j").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sides = None, ([], [])
+        now, sides, found = None, ([], []), []
 
-        def close() -> Iterator[pa.RecordBatch]:
+        def close() -> None:
             one = now is not None and now[1] == now[2]
-            if len(sides[0]) < 1 + one or not one and not sides[1]:
-                return
-            found = task(sides[0], None if one else sides[1])
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=names)
+            if len(sides[0]) > one and (one or sides[1]):
+                found.extend(task(sides[0], None if one else sides[1]))
+
+        def send() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64()) for _ in names], names=names)
+            found.clear()
+            return batch
 
         for b in batches:
             for of, i, j, side, *member in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (of, i, j) != now:
-                    yield from close()
+                    close()
                     now, sides = (of, i, j), ([], [])
                 part = sides[side]
                 if not part or part[-1][0] != member[0]:
                     part.append(tuple(member))
-        yield from close()
+            if len(found) >= SENT_ROWS:
+                yield send()
+        close()
+        yield send()
 
     return rows.mapInArrow(run, schema)
 

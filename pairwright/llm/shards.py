@@ -140,6 +140,12 @@ def descend(rows: DataFrame, levels: list[list[Node]], dims: list[str]) -> DataF
     """Move _node, the first leaf of the node that holds a row, down by the given levels."""
     found = rows
     for nodes in levels:
+        if len(nodes) == 1:  # the root: no join
+            n, place = nodes[0], (F.element_at(F.array(*[F.col(d) for d in dims]), nodes[0].dim + 1), F.col("_group"), F.col("_id"))
+            if n.point is not None:
+                point = F.struct(*[F.lit(x).cast("long").alias(a) for x, a in zip(n.point, "abc", strict=True)])
+                found = found.withColumn("_node", F.when(F.struct(*[c.alias(a) for c, a in zip(place, "abc", strict=True)]) > point, n.first + n.leaves // 2).otherwise(F.col("_node")))
+            continue
         splits = bounded(rows.sparkSession, [(n.first, n.dim, n.first + n.leaves // 2, *(n.point or (0, 0, 0)), n.point is not None) for n in nodes], "_node int, _dim int, _right int, _p0 long, _p1 long, _p2 long, _split boolean")
         key = F.element_at(F.array(*[F.col(d) for d in dims]), F.col("_dim") + 1)
         above = F.struct(key.alias("a"), F.col("_group").alias("b"), F.col("_id").alias("c")) > F.struct(F.col("_p0").alias("a"), F.col("_p1").alias("b"), F.col("_p2").alias("c"))

@@ -207,6 +207,21 @@ def test_group_filter_loses_no_link():
                 assert any(jaccard.near_groups([x], [y], percent) == {1: 1, 2: 1} == jaccard.near_groups([x, y], None, percent) for x, y in lists)
 
 
+def test_short_lists_are_compared_as_long_ones(monkeypatch):
+    rng = random.Random(6)
+    for _ in range(200):
+        m = rng.randint(2, 24)
+        base = rng.getrandbits(256)
+        flip = lambda: ((base ^ sum(1 << rng.randrange(256) for _ in range(rng.randrange(9)))) % 2**256).to_bytes(32)  # noqa: B023, E731
+        members = [(rng.randrange(10**9), rng.randint(20, 40), rng.randint(0, 6), rng.choice([None, *[flip() for _ in range(9)]])) for _ in range(m)]
+        cut = rng.choice([None, rng.randint(1, m - 1)])
+        sides = (members, None) if cut is None else (members[:cut], members[cut:])
+        monkeypatch.setattr(jaccard, "SHORT", 24)
+        short = jaccard.near_groups(*sides, 80)
+        monkeypatch.setattr(jaccard, "SHORT", 0)
+        assert jaccard.near_groups(*sides, 80) == short
+
+
 def test_any_two_rows_meet_in_one_task(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 4)
     rng = random.Random(1)
