@@ -6,8 +6,7 @@
 2. Each document gives its set's size, a digest of the set and its prefix: of n shingles the first n - ceil(0.9 n) + 1.
    Documents with equal digests are one class, named by the digest and not by an id, so that rows that share an id keep
    their own links; documents with identical prefixes and size collapse into one group.
-3. Shingles that only one group has in its prefix are counted away on the map side. Within the list of each other
-   shingle group pairs are filtered: by size, by the places of the shingle in both prefixes, which bound the overlap,
+3. Shingles that only one group has in its prefix go. Within the list of each other shingle group pairs are filtered: by size, by the places of the shingle in both prefixes, which bound the overlap,
    and by parity sketches of SKETCH bits. What a task emits is one edge a row at most, to the smallest group that its
    row may be linked with; no list is paired out.
 4. Groups are expanded to their classes and each component is filtered by parity bitmaps of about one bit a shingle:
@@ -51,6 +50,8 @@ BLOCK = 1024
 SKETCH = 256
 #: Lists of up to so many members are compared without arrays; results leave a worker so many rows at a time.
 SHORT, SENT_ROWS = 24, 8192
+#: From this level of its rarest word on (log2 of documents) a shingle's list may be too long for one task.
+HOT_LEVEL = 17
 #: So many narrow rows are broadcast at most; more are joined by a shuffle.
 MOST_BROADCAST = util.MOST_BROADCAST
 CACHED_WORDS = 150_000
@@ -163,19 +164,20 @@ def sketch_of(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
-def prefix_of(words: list[bytes], table_: tuple[np.ndarray, np.ndarray], percent: int = PERCENT, k: int = WORDS) -> tuple[int, int, np.ndarray, bytes, bytes]:
-    """Size of the set, its digest, the prefix's shingles in the one order of all shingles, the set's bitmap and sketch."""
+def prefix_of(words: list[bytes], table_: tuple[np.ndarray, np.ndarray], percent: int = PERCENT, k: int = WORDS) -> tuple[int, int, np.ndarray, bytes, bytes, int]:
+    """Size of the set, its digest, the prefix's shingles in the one order of all shingles, the set's bitmap and sketch, and how many of the prefix stand before HOT_LEVEL."""
     h = hashes_of(words)
     s, first = shingle_set(words, k, h)
     n = len(s)
     if not n:
-        return 0, 0, s, b"", b""
+        return 0, 0, s, b"", b"", 0
     level = _levels(h, table_)
     rank = level[: len(words) - k + 1] if len(words) >= k else level[:1]
     for i in range(1, k if len(words) >= k else 1):
         rank = np.minimum(rank, level[i : i + len(rank)])
-    order = np.argsort(rank[first], kind="stable")  # by rank, then digest
-    return n, digest_of(s), s[order[: prefix_length(n, percent)]], parity_bitmap(s), sketch_of(s)
+    rank = rank[first]
+    order = np.argsort(rank, kind="stable")[: prefix_length(n, percent)]  # by rank, then digest
+    return n, digest_of(s), s[order], parity_bitmap(s), sketch_of(s), int((rank[order] < HOT_LEVEL).sum())
 
 
 def digest_of(s: np.ndarray) -> int:
@@ -186,7 +188,7 @@ def digest_of(s: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
-    """(doc_id, text_hash, n, class, group, prefix, bitmap, sketch) of every document; n 0 where it has no words."""
+    """(doc_id, text_hash, n, class, group, prefix, bitmap, sketch, cold) of every document; n 0 where it has no words."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_words(docs))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,10 +198,10 @@ def signatures(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataF
             found = [prefix_of(words_of(t.as_py()), sent.value, percent, k) for t in b.column(2)]
             groups = np.array([xxhash.xxh3_64_intdigest(f[2].tobytes(), seed=f[0]) for f in found], np.uint64).view(np.int64)
             prefixes = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(f[2]) for f in found]), pa.int32()), pa.array(np.concatenate([f[2] for f in found] or [np.zeros(0, np.uint64)]).view(np.int64)))
-            columns = [b.column(0), b.column(1), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array(groups), prefixes, pa.array([f[3] for f in found], pa.binary()), pa.array([f[4] for f in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n", "class", "group", "prefix", "bitmap", "sketch"])
+            columns = [b.column(0), b.column(1), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array(groups), prefixes, pa.array([f[3] for f in found], pa.binary()), pa.array([f[4] for f in found], pa.binary()), pa.array([f[5] for f in found], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n", "class", "group", "prefix", "bitmap", "sketch", "cold"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(sign, "doc_id long, text_hash long, n long, class long, group long, prefix array<long>, bitmap binary, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(sign, "doc_id long, text_hash long, n long, class long, group long, prefix array<long>, bitmap binary, sketch binary, cold int")
 
 
 def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -312,19 +314,29 @@ def near_few(left: list[tuple], right: list[tuple] | None, percent: int) -> dict
 
 
 def candidate_groups(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) between groups that may be linked; groups: group, n, prefix, sketch, a materialized table."""
-    rows = groups.select("group", "n", F.posexplode("prefix").alias("place", "shingle"))
-    first = (100 + percent) * (F.col("n") - F.col("place")) >= 2 * percent * F.col("n")  # where a link's smaller set has its first common shingle
-    shared = few(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.max(first).alias("f")).filter("k > 1 AND f").select("shingle"), "jaccard-shared")
-    listed = materialize(rows.join(shared, "shingle", "left_semi"), "jaccard-lists")
-    dealt = with_tasks(listed, "shingle", "group", percent)
-    sketches = groups.select("group", "sketch").join(listed.select("group").distinct(), "group", "left_semi")
-    whole = dealt.join(sketches, "group").select("shingle", F.col("group").alias("class"), "n", "place", "sketch", "tasks")
+    """Rows (shingle, group, n, place, sketch) of the shared prefix shingles, written once; groups: group, n, prefix, sketch, cold.
+
+    A list is of use if it has two rows, one of them where a link's smaller set has its first common shingle. Lists of
+    rare shingles are looked at as windows, in one shuffle; those that may be long are counted on the map side first.
+    """
+    first = (100 + percent) * (F.col("n") - F.col("place")) >= 2 * percent * F.col("n")
+    rows = groups.select("group", "n", "cold", F.posexplode("prefix").alias("place", "shingle")).select("shingle", "group", "place", first.alias("first"), (F.col("place") < F.col("cold")).alias("cold"))
+    own = Window.partitionBy("shingle")
+    rare = rows.filter("cold").drop("cold").withColumn("k", F.count(F.lit(1)).over(own)).withColumn("f", F.max("first").over(own)).filter("k > 1 AND f").select("shingle", "group", "place")
+    hot = rows.filter("NOT cold")
+    shared = few(hot.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.max("first").alias("f")).filter("k > 1 AND f").select("shingle"), "jaccard-shared")
+    kept = rare.unionByName(hot.join(shared, "shingle", "left_semi").select("shingle", "group", "place"))
+    return materialize(kept.join(groups.select("group", "n", "sketch"), "group").select("shingle", "group", "n", "place", "sketch"), "jaccard-lists")
+
+
+def possible_edges(listed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Edges (a, b) between groups that may be linked."""
+    dealt = with_tasks(listed, "shingle", "group", percent).withColumnRenamed("group", "class")
 
     def task(left: list, right: list | None) -> list:
         return sorted(near_groups(left, right, percent).items())
 
-    return by_block(whole, "shingle", ["class", "n", "place", "sketch"], task, ["a", "b"], "a long, b long")
+    return by_block(dealt, "shingle", ["class", "n", "place", "sketch"], task, ["a", "b"], "a long, b long")
 
 
 def verify_block(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int, int, np.ndarray]] | None, percent: int) -> tuple[dict[int, int], dict[int, int]]:
@@ -495,36 +507,43 @@ def verified(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int
     return by_block(whole, "component", ["class", "docs", "set"], task, ["class", "low", "links"], "class long, low long, links long")
 
 
-def linked_rows(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id, n_links): one row per document; text_hash tells apart rows that share an id."""
+def linked_rows(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> tuple[DataFrame, list[DataFrame]]:
+    """(doc_id, text_hash, n_shingles, component_id, n_links): one row per document; text_hash tells apart rows that share an id; with it the tables that it is read from."""
     lean_batches(docs.sparkSession)
     signed = materialize(signatures(docs, percent, k), "jaccard-signatures")
     some = signed.filter("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("class", "n", "group").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("docs"))
     classes = materialize(classes, "jaccard-classes")
     one = F.min("class") == F.max("class")  # a prefix is the same in all of a group, a sketch only where it holds one class
-    groups = materialize(some.groupBy("group", "n").agg(F.first("prefix").alias("prefix"), F.when(one, F.first("sketch")).alias("sketch")), "jaccard-groups")
-    edges = candidate_groups(groups, percent)
-    found = star_components(edges)
+    groups = materialize(some.groupBy("group", "n").agg(F.first("prefix").alias("prefix"), F.when(one, F.first("sketch")).alias("sketch"), F.min("cold").alias("cold")), "jaccard-groups")
+    listed = candidate_groups(groups, percent)
+    forget(groups)
+    found = star_components(possible_edges(listed, percent))
+    forget(listed)
     several = classes.groupBy("group").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(F.col("group").alias("node"), F.col("group").alias("component"))
     held = found.unionByName(several.join(found, "node", "left_anti"))
     candidates = materialize(classes.join(held.withColumnRenamed("node", "group"), "group").select("class", "rep", "docs", "n", "component"), "jaccard-candidates")
     possible = star_components(filtered(candidates, some, percent))
+    ids = materialize(signed.select("doc_id", "text_hash", "class", "n"), "jaccard-ids")
+    forget(candidates)
+    forget(signed)
     left = materialize(classes.join(possible.withColumnRenamed("node", "class"), "class").select("class", "rep", "docs", "n", "component"), "jaccard-possible")
     proof = materialize(verified(left, docs, percent, k), "jaccard-links")
+    forget(left)
     joined = materialize(star_components(proof.select(F.col("class").alias("a"), F.col("low").alias("b"))), "jaccard-components")
     least = joined.join(classes.select(F.col("class").alias("node"), "rep"), "node").groupBy("component").agg(F.min("rep").alias("_least"))
     named = joined.join(least, "component").select(F.col("node").alias("class"), F.col("component").alias("_component"), "_least")
     links = proof.groupBy("class").agg(F.sum("links").alias("_links"))
     more = classes.join(named, "class", "left").filter("docs > 1 OR _component IS NOT NULL").join(links, "class", "left")
     more = few(more.select(F.col("class").alias("_class"), "rep", "docs", "_component", "_least", "_links"), "jaccard-named")
-    every = signed.select("doc_id", "text_hash", "class", "n").join(more, (F.col("class") == F.col("_class")) & F.col("doc_id").isNotNull() & (F.col("n") > 0), "left")
-    return every.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("_least", "rep", "doc_id").alias("component_id"), (F.coalesce("docs", F.lit(1)) - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"))
+    every = ids.join(more, (F.col("class") == F.col("_class")) & F.col("doc_id").isNotNull() & (F.col("n") > 0), "left")
+    rows = every.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("_least", "rep", "doc_id").alias("component_id"), (F.coalesce("docs", F.lit(1)) - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"))
+    return rows, [ids, classes, more]
 
 
 def link(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links): one row per document."""
-    return linked_rows(docs, percent, k).select("doc_id", "n_shingles", "component_id", "n_links")
+    return linked_rows(docs, percent, k)[0].select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
@@ -532,8 +551,11 @@ def keep_first(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataF
 
     Rows are dropped by id and text, so that a row doesn't go with its namesake.
     """
-    rows = linked_rows(docs, percent, k).filter("doc_id <> component_id").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"))
+    rows, made = linked_rows(docs, percent, k)
+    rows = rows.filter("doc_id <> component_id").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"))
     off = few(rows.distinct(), "jaccard-off")
+    for table_ in made:
+        forget(table_)
     return docs.join(off, (F.col("doc_id").cast("long") == F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left_anti").select(*docs.columns)
 
 

@@ -180,6 +180,11 @@ def test_small_blocks_and_no_broadcast_give_the_same(spark, near, monkeypatch):
     assert linked(spark.createDataFrame(near, "doc_id long, text string")) == brute(near)
 
 
+def test_lists_that_may_be_long_give_the_same(spark, near, monkeypatch):
+    monkeypatch.setattr(jaccard, "HOT_LEVEL", 0)
+    assert linked(spark.createDataFrame(near, "doc_id long, text string")) == brute(near)
+
+
 @pytest.mark.parametrize("block", [1024, 3])
 def test_rows_that_share_an_id_keep_their_links(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
@@ -202,7 +207,7 @@ def test_group_filter_loses_no_link():
         for percent, k in ((90, 3), (80, 5)):
             a, b = (set(jaccard.shingle_set(w, k)[0].tolist()) for w in (words, other))
             if a and b and 100 * len(a & b) >= percent * len(a | b):
-                (n, _, p, _, s), (n2, _, p2, _, s2) = (jaccard.prefix_of(w, table, percent, k) for w in (words, other))
+                (n, _, p, _, s, _), (n2, _, p2, _, s2, _) = (jaccard.prefix_of(w, table, percent, k) for w in (words, other))
                 lists = [((1, n, p.tolist().index(x), s), (2, n2, p2.tolist().index(x), s2)) for x in set(p.tolist()) & set(p2.tolist())]
                 assert any(jaccard.near_groups([x], [y], percent) == {1: 1, 2: 1} == jaccard.near_groups([x, y], None, percent) for x, y in lists)
 
