@@ -16,12 +16,10 @@ def check_scores(scores: DataFrame) -> None:
     """Labels 0 or 1, finite probabilities from 0 to 1, at least one row; one action."""
     p, y = F.col("probability"), F.col("label")
     state = scores.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(y.isin(0, 1), F.lit(False))).alias("labels"), F.count_if(F.coalesce(F.isnan(p), F.lit(True)) | (F.abs(p) == float("inf"))).alias("finite"), F.count_if((p < 0) | (p > 1)).alias("range")).first()
-    if not state["n"]:
-        raise InputError("Expected aligned, nonempty labels and probabilities.")
-    if state["labels"] or state["finite"]:
-        raise InputError("Invalid labels or probabilities.")
-    if state["range"]:
-        raise InputError("Probabilities must lie in [0, 1].")
+    broken = {"A table of scores must be nonempty.": not state["n"], "Invalid values: labels are 0 or 1, scores are finite numbers.": state["labels"] or state["finite"], "A score lies outside [0, 1].": state["range"]}
+    for message, fails in broken.items():
+        if fails:
+            raise InputError(message)
 
 
 def by_score(scores: DataFrame) -> DataFrame:
@@ -32,9 +30,12 @@ def by_score(scores: DataFrame) -> DataFrame:
 def running(counts: DataFrame, blocks: int = 256) -> DataFrame:
     """Add cp and cn, positives and negatives with this score or a higher one.
 
-    Scores are dealt over blocks of their range; block sums are added up over few rows, so no window holds all scores.
+    Scores are dealt over blocks of about equal numbers of them, cut at approximate quantiles; any cuts give the same
+    sums. Block sums are added up over few rows, so no window holds all scores.
     """
-    dealt = counts.withColumn("_b", F.floor(F.col("probability") * blocks))
+    cuts = counts.approxQuantile("probability", [i / blocks for i in range(1, blocks)], 1 / (4 * blocks))
+    cuts = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
+    dealt = counts.withColumn("_b", F.size(F.filter(cuts, lambda c: c <= F.col("probability"))))
     above = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     sums = dealt.groupBy("_b").agg(F.sum("p").alias("sp"), F.sum("n").alias("sn"))
     starts = sums.select("_b", F.coalesce(F.sum("sp").over(above), F.lit(0)).alias("p0"), F.coalesce(F.sum("sn").over(above), F.lit(0)).alias("n0"))

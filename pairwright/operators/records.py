@@ -9,7 +9,9 @@ from ..functions.checks import enforce, unless, violations
 from ..functions.text import blank_to_null, is_blank, pieces, strip
 from .audits import later_occurrences
 
+#: The sources and how their ids begin.
 PREFIXES = {"source1": "S1-", "source2": "S2-", "source3": "S3-"}
+SOURCES = tuple(PREFIXES)
 
 
 def good_id(c: Column, prefix: str) -> Column:
@@ -66,14 +68,17 @@ def ml_record(record: str | None = None, mask_multiple_codes: bool = False, coll
 
 def ml_pairs(joined: DataFrame, mask_multiple_codes: bool = False, collection_aware: bool = False) -> DataFrame:
     """Joined candidates as pairs: row_index, pair_id, source1_id, source2_id, source1, source2, label, split."""
-    return joined.select(
-        "row_index", "pair_id", F.col("source1.entity_id").alias("source1_id"), F.col("target.entity_id").alias("source2_id"),
-        ml_record("source1", mask_multiple_codes, collection_aware).alias("source1"), ml_record("target", mask_multiple_codes, collection_aware).alias("source2"), "label", "split",
-    )
+    return joined.select(*_pair(mask_multiple_codes, collection_aware), "label", "split")
+
+
+def _pair(mask_multiple_codes: bool, collection_aware: bool, target: str = "source2") -> list:
+    one = lambda side: ml_record(side, mask_multiple_codes, collection_aware)
+    return ["row_index", "pair_id", F.col("source1.entity_id").alias("source1_id"), F.col("target.entity_id").alias(f"{target}_id"), one("source1").alias("source1"), one("target").alias(target)]
 
 
 def inference_rows(joined: DataFrame, mask_multiple_codes: bool = False, collection_aware: bool = False) -> DataFrame:
     """Joined candidates as nested rows for a configurable mapping: both records, S2 or S3, all postal codes, label, split."""
-    return ml_pairs(joined, mask_multiple_codes, collection_aware).join(
-        joined.select("row_index", F.col("target.entity_id").alias("target_id"), F.when(F.col("candidate_source") == "source2", "S2").otherwise("S3").alias("target_source"), F.col("source1.postal_codes").alias("source1_postal_codes"), F.col("target.postal_codes").alias("target_postal_codes")), "row_index",
-    ).select("row_index", "pair_id", "source1_id", "target_id", "target_source", "source1", F.col("source2").alias("target"), "source1_postal_codes", "target_postal_codes", "label", "split")
+    row_index, pair_id, source1_id, target_id, source1, target = _pair(mask_multiple_codes, collection_aware, "target")
+    source = F.when(F.col("candidate_source") == "source2", "S2").otherwise("S3").alias("target_source")
+    codes = [F.col(f"{side}.postal_codes").alias(f"{side}_postal_codes") for side in ("source1", "target")]
+    return joined.select(row_index, pair_id, source1_id, target_id, source, source1, target, *codes, "label", "split")

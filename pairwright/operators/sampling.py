@@ -8,14 +8,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import blocks
+
 DEFAULT_RATIO, DEFAULT_ZERO_MATCH, DEFAULT_SEED = 10, 10, 42
 
 
 def _check(ratio: int | None, zero_match: int) -> None:
-    if ratio is not None and (type(ratio) is not int or ratio < 1):
-        raise ValueError("negative_ratio must be a positive integer or None.")
-    if type(zero_match) is not int or zero_match < 0:
-        raise ValueError("max_zero_match_negatives must be a nonnegative integer.")
+    for what, value, least in (("ratio of negatives", 1 if ratio is None else ratio, 1), ("negatives of an entity without matches", zero_match, 0)):
+        if isinstance(value, bool) or not isinstance(value, int) or value < least:
+            raise ValueError(f"The {what} is a whole number from {least} on, not {value!r}.")
 
 
 def entity_runs(pairs: DataFrame, lists: DataFrame | None = None) -> DataFrame:
@@ -26,11 +27,11 @@ def entity_runs(pairs: DataFrame, lists: DataFrame | None = None) -> DataFrame:
     """
     lines = (lists if lists is not None else pairs).select("source1_row_index", "source1_entity_id").distinct().withColumn("_block", F.floor(F.col("source1_row_index") / 4096))
     ends = lines.groupBy("_block").agg(F.max_by("source1_entity_id", "source1_row_index").alias("_last"), F.min("source1_row_index").alias("_first"))
-    edges = ends.select("_block", F.lag("_last").over(Window.orderBy("_block")).alias("_before"))
+    edges = blocks.previous(ends, "_block", F.col("_last"), "_before")
     inside = Window.partitionBy("_block").orderBy("source1_row_index")
     changed = lines.join(edges, "_block").withColumn("_new", (~F.coalesce(F.lag("source1_entity_id").over(inside), F.col("_before")).eqNullSafe(F.col("source1_entity_id"))).cast("long"))
     totals = changed.groupBy("_block").agg(F.sum("_new").alias("_n"))
-    starts = totals.select("_block", F.coalesce(F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    starts = blocks.starts(totals, "_block", "_n", "_start")
     runs = changed.withColumn("_run", F.sum("_new").over(inside)).join(starts, "_block").select("source1_row_index", (F.col("_start") + F.col("_run")).alias("run"))
     return pairs.join(runs, "source1_row_index")
 

@@ -26,13 +26,17 @@ def group_split(pairs: DataFrame, fraction: float = 0.2, seed: int = 42) -> Data
     return places.join(picked.withColumn("_v", F.lit(True)), "place", "left").select("source1_entity_id", F.when(F.col("_v"), "validation").otherwise("train").alias("split"))
 
 
-def sorted_places(ids: DataFrame, prefix: int = 6) -> DataFrame:
-    """(source1_entity_id, place): the rank from 0 in code point order, numbered within blocks of a common beginning."""
-    dealt = ids.withColumn("_b", F.substring("source1_entity_id", 1, prefix))
-    counts = dealt.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+def sorted_places(ids: DataFrame) -> DataFrame:
+    """(source1_entity_id, place): the rank from 0 in code point order, numbered within ranges of the ids.
+
+    Any ranges give the same places; a window holds one range, and the keyless one a row a range.
+    """
+    ranged = ids.repartitionByRange(int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source1_entity_id").withColumn("_b", F.spark_partition_id())
+    ranged = ranged.persist()  # both readers must see the same ranges
+    counts = ranged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
     inside = F.row_number().over(Window.partitionBy("_b").orderBy("source1_entity_id")) - 1
-    return dealt.withColumn("_in", inside).join(starts, "_b").select("source1_entity_id", (F.col("_start") + F.col("_in")).alias("place"))
+    return ranged.withColumn("_in", inside).join(starts, "_b").select("source1_entity_id", (F.col("_start") + F.col("_in")).alias("place"))
 
 
 def hashed_split(pairs: DataFrame, fraction: float = 0.2, seed: int = 42) -> DataFrame:

@@ -69,12 +69,12 @@ class Ensemble:
         head = ["tree", "version=v4", "num_class=1", f"max_feature_idx={len(self.feature_names) - 1}", f"objective=binary sigmoid:{self.sigmoid:g}", "feature_names=" + " ".join(self.feature_names), ""]
         for i, t in enumerate(self.trees):
             row = lambda k, v: f"{k}=" + " ".join(repr(x) if isinstance(x, float) else str(x) for x in v)
-            head += [f"Tree={i}", f"num_leaves={len(t.leaf_value)}", "num_cat=0", row("split_feature", t.split_feature), row("threshold", t.threshold), row("left_child", t.left_child), row("right_child", t.right_child), row("leaf_value", t.leaf_value), ""]
+            head += [f"Tree={i}", f"num_leaves={len(t.leaf_value)}", "num_cat=0", row("split_feature", t.split_feature), row("threshold", t.threshold), row("decision_type", [2] * len(t.threshold)), row("left_child", t.left_child), row("right_child", t.right_child), row("leaf_value", t.leaf_value), ""]
         return "\n".join([*head, "end of trees", ""])
 
     @classmethod
     def from_text(cls, text: str) -> Ensemble:
-        """Numeric splits only; a categorical split is an error."""
+        """Numeric splits only; categorical splits, zeros as missing values and linear leaves are errors. Features are never missing, so a split's default side isn't used."""
         body = text.split("end of trees")[0]
         blocks = body.split("\nTree=")
         head = dict(line.split("=", 1) for line in blocks[0].splitlines() if "=" in line)
@@ -85,32 +85,52 @@ class Ensemble:
             facts = dict(line.split("=", 1) for line in block.splitlines() if "=" in line)
             if int(facts.get("num_cat", "0")):
                 raise ValueError("Categorical splits can't be read.")
+            kinds = [int(float(v)) for v in facts.get("decision_type", "").split()]
+            if any(k & 1 for k in kinds):
+                raise ValueError("Categorical splits can't be read.")
+            if any(k >> 2 & 3 == 1 for k in kinds):
+                raise ValueError("Splits that take zero as missing can't be read.")
+            if int(facts.get("is_linear", "0")):
+                raise ValueError("Linear leaves can't be read.")
             numbers = lambda k, kind: [kind(v) for v in facts.get(k, "").split()]  # noqa: E731, B023
             trees.append(Tree(numbers("leaf_value", float), numbers("split_feature", int), numbers("threshold", float), numbers("left_child", int), numbers("right_child", int)))
         sigmoid = next((float(p.split(":")[1]) for p in head["objective"].split() if p.startswith("sigmoid:")), 1.0)
         return cls(tuple(head["feature_names"].split()), trees, sigmoid)
 
     @classmethod
-    def from_gbt(cls, model, feature_names: tuple[str, ...]) -> Ensemble:
-        """The trees of a fitted GBTClassificationModel; its margin counts twice in the logistic."""
-        trees = []
-        for tree, weight in zip(model.trees, model.treeWeights, strict=True):
-            t = Tree([])
-
-            def walk(node, t=t, weight=weight) -> int:
-                if node.subtreeDepth() == 0:
-                    t.leaf_value.append(float(node.prediction()) * weight)
-                    return -len(t.leaf_value)
-                at = len(t.split_feature)
-                split = node.split()
-                t.split_feature.append(int(split.featureIndex()))
-                t.threshold.append(float(split.threshold()))
-                t.left_child.append(0)
-                t.right_child.append(0)
-                t.left_child[at] = walk(node.leftChild())
-                t.right_child[at] = walk(node.rightChild())
-                return at
-
-            walk(tree._java_obj.rootNode())
-            trees.append(t)
-        return cls(tuple(feature_names), trees, 2.0)
+    def from_gbt(cls, model, feature_names: tuple[str, ...], num_leaves: int | None = None) -> Ensemble:
+        """The trees of a fitted GBTClassificationModel; its margin counts twice in the logistic.
+
+        A tree keeps the `num_leaves` leaves that best-first growth reaches: of all open nodes that of the largest gain
+        is split next.
+        """
+        return cls(tuple(feature_names), [_pruned(tree._java_obj.rootNode(), weight, num_leaves) for tree, weight in zip(model.trees, model.treeWeights, strict=True)], 2.0)
+
+
+def _pruned(root, weight: float, num_leaves: int | None) -> Tree:
+    kept, open_ = set(), [("", root)]
+    nodes = {"": root}
+    while num_leaves is None or len(kept) + 1 < num_leaves:
+        inner = [(name, n) for name, n in open_ if n.subtreeDepth() > 0]
+        if not inner:
+            break
+        name, node = max(inner, key=lambda x: (x[1].gain(), -len(x[0]), x[0]))
+        kept.add(name)
+        children = [(name + "l", node.leftChild()), (name + "r", node.rightChild())]
+        nodes.update(children)
+        open_ = [x for x in open_ if x[0] != name] + children
+    tree = Tree([])
+
+    def walk(name: str) -> int:
+        node = nodes[name]
+        if name not in kept:
+            tree.leaf_value.append(float(node.prediction()) * weight)
+            return -len(tree.leaf_value)
+        at, split = len(tree.split_feature), node.split()
+        for part, value in ((tree.split_feature, int(split.featureIndex())), (tree.threshold, float(split.threshold())), (tree.left_child, 0), (tree.right_child, 0)):
+            part.append(value)
+        tree.left_child[at], tree.right_child[at] = walk(name + "l"), walk(name + "r")
+        return at
+
+    walk("")
+    return tree

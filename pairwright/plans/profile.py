@@ -19,14 +19,19 @@ def run(df: DataFrame) -> float:
 
 
 def profile(pairs: DataFrame, records: DataFrame, ensemble: Ensemble, name=None, address=None) -> dict[str, float]:
-    """Seconds of reading, joining, preparing records, features, and scoring; later stages include earlier ones."""
-    return {
+    """Seconds of reading, joining, preparing records, features, and scoring; later stages include earlier ones.
+
+    "own_" has what a stage takes beyond those that it includes.
+    """
+    found = {
         "candidates": run(pairs),
         "join": run(join_records(pairs, records)),
         "record_features": run(record_features(records, True)),
         "features": run(featurize(pairs, records, name, address, True)),
         "score": run(score(pairs, records, ensemble, name, address)),
     }
+    before = {"join": ("candidates",), "features": ("join", "record_features"), "score": ("features",)}
+    return found | {f"own_{k}": max(0.0, found[k] - sum(found[b] for b in parts)) for k, parts in before.items()}
 
 
 def pilot(candidates_lists: DataFrame, pairs: DataFrame, records: DataFrame, truth: DataFrame, model, out: str | None = None) -> dict:

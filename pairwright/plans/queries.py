@@ -9,17 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.features import FEATURE_NAMES, pair_features, record_features
-from ..functions.postal import code_set, normal_code
+from ..functions.postal import code_set, normal_code, record_codes
+from ..functions.storage import shared_path
 from ..functions.text import blank_to_null, squeeze
 from ..functions.tfidf import TfIdf, document_frequencies, ngrams, prepared
 from ..operators import audits, candidates, joins, metrics, sampling, splits
 from ..operators import records as record_ops
 from ..sources import candidates as candidate_source
+from ..sources import jsonl as json_source
+from ..sources import records as record_source
 from ..sources import truth as truth_source
+from ..sources.lines import numbered_lines
 from . import preparation, scoring, views
 from .ensemble import Ensemble, Tree
 from .views import with_views
@@ -347,9 +351,10 @@ def parse_ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("c_custkey", F.array_join(truth_source.matches(F.col("cell")), ",").alias("matched"), truth_source.unparsed(F.col("cell")).alias("bad"))
 
 
-@query("SELECT count(*) AS rows FROM labelled", "labelled")
+@query(f"""WITH lines AS (SELECT sha256(to_json({{'candidate_entity_id': candidate_entity_id, 'candidate_rank': candidate_rank, 'candidate_source': candidate_source, 'label': label, 'pair_id': pair_id, 'row_index': row_index, 'source1_entity_id': source1_entity_id, 'source1_row_index': source1_row_index, 'split': split}})::VARCHAR) AS h FROM labelled)
+    SELECT count(*) AS rows, sha256(concat_ws(':', {", ".join(f"sum(('0x' || substr(h, {1 + 12 * k}, 12))::BIGINT)::VARCHAR" for k in range(4))})) AS digest FROM lines""", "labelled")
 def input_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.distributed_fingerprint(views.labelled(spark, sf_dir)).select("rows")
+    return audits.distributed_fingerprint(views.labelled(spark, sf_dir))
 
 
 @query("SELECT split, count(*) AS entities, sha256('[' || string_agg('\"' || source1_entity_id || '\"', ',' ORDER BY source1_entity_id) || ']') AS sha256 FROM split GROUP BY split", "split")
@@ -423,25 +428,35 @@ def prepare_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preparation.pair_counts(_sampled(spark, sf_dir))
 
 
-@query("SELECT avg(length(v) + 1)::DOUBLE AS avg_line_bytes FROM (SELECT '{\"pair_id\":\"' || pair_id || '\"}' AS v FROM pairs ORDER BY row_index LIMIT 100)", "pairs")
+_RECORD_JSON = "{{'name': {0}.name, 'address': {0}.address, 'postal_code': CASE WHEN len({0}.postal_codes) = 1 THEN {0}.postal_codes[1] END, 'country': {0}.country, 'postal_codes': NULL::VARCHAR[]}}"
+_LINES = f"""{_SAMPLED}, lines AS (SELECT k.row_index, to_json({{'pair_id': k.pair_id, 'source1_id': k.source1_entity_id, 'source2_id': k.candidate_entity_id, 'source1': {_RECORD_JSON.format("a").replace("{{", "{").replace("}}", "}")}, 'source2': {_RECORD_JSON.format("b").replace("{{", "{").replace("}}", "}")}, 'label': k.label, 'split': k.split}})::VARCHAR AS value
+    FROM kept k JOIN records a ON a.entity_id = k.source1_entity_id JOIN records b ON b.entity_id = k.candidate_entity_id)"""
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preparation.prepared_lines(joins.join_records(_sampled(spark, sf_dir), views.records(spark, sf_dir)))
+
+
+@query(f"{_LINES} SELECT avg(strlen(value) + 1)::DOUBLE AS avg_line_bytes FROM (SELECT value FROM lines ORDER BY row_index LIMIT 100)", "labelled", "records")
 def average_line_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = views.pairs(spark, sf_dir).select("row_index", F.to_json(F.struct("pair_id")).alias("value"))
-    return preparation.average_line_bytes(lines)
+    return preparation.average_line_bytes(_lines(spark, sf_dir))
 
 
-@query()
+@query(f"{_LINES} SELECT row_index, value FROM lines", "labelled", "records")
 def prepared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = joins.join_records(_sampled(spark, sf_dir), views.records(spark, sf_dir))
-    return preparation.prepared_lines(joined)
+    return _lines(spark, sf_dir)
+
 
+#: Training and validation pairs of the machines that are estimated.
+_MACHINES = ((0, 0), (1, 0), (51, 510), (30_000, 6_000), (1_500_000, 1), (1_999_999, 1), (2_000_000, 900_000), (5_000_000, 1_000_001), (7_000_000, 40))
 
-@query("SELECT *, round(180 + n * 1850.0 / 1048576 + greatest(least(least(2 * n, greatest(n // 3, 10)) * 2000.0, 1572864000) / 1048576 + 50, n * 48.0 / 1048576 * 2.5 + 20), 2)::DOUBLE AS peak_mb FROM (SELECT p_partkey AS n FROM part)")
+
+@query(f"""WITH m AS (SELECT * FROM (VALUES {", ".join(f"({t}::BIGINT, {v}::BIGINT)" for t, v in _MACHINES)}) AS x(train_pairs, validation_pairs)),
+    e AS (SELECT *, 180 + (train_pairs + validation_pairs) * 1850.0::DOUBLE / 1048576 + greatest(least(least(2 * train_pairs, greatest(train_pairs // 3, 10)) * 2000.0::DOUBLE / 1048576, 1500) + 50, train_pairs * 48.0::DOUBLE / 1048576 * 2.5 + 20) AS peak FROM m)
+    SELECT train_pairs, validation_pairs, round(peak, 2) AS peak_mb, CASE WHEN peak / 1024 <= 12 THEN 'SAFE' ELSE 'UNSAFE_EXCEEDS_16GB' END AS status, (CASE WHEN train_pairs + validation_pairs > 1500000 THEN 1 ELSE 0 END + CASE WHEN train_pairs + validation_pairs > 2000000 THEN 1 ELSE 0 END + CASE WHEN validation_pairs > 1000000 THEN 1 ELSE 0 END)::BIGINT AS bottlenecks FROM e""")
 def memory_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("n")
-    unique = F.least(2 * n, F.greatest(F.floor(n / 3), F.lit(10)))
-    fit = F.least(unique * 2000.0, F.lit(1500.0 * (1 << 20))) / (1 << 20) + 50
-    peak = 180 + n * 1850.0 / (1 << 20) + F.greatest(fit, n * 48.0 / (1 << 20) * 2.5 + 20)
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("n")).withColumn("peak_mb", F.round(peak, 2))
+    found = [preparation.estimate_memory(*m) for m in _MACHINES]
+    return spark.createDataFrame([(e["train_pairs"], e["validation_pairs"], e["peak_estimated_ram_mb"], e["status"], len(e["identified_bottlenecks"])) for e in found], "train_pairs long, validation_pairs long, peak_mb double, status string, bottlenecks long")
 
 
 # Metrics and scoring
@@ -486,11 +501,11 @@ def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("pair_id", F.format_string("%.6f", "probability").alias("line"))
 
 
-@query()
+@query("SELECT (2 * i + 1 - y)::BIGINT AS row_index, k || '-' || i AS pair_id, 's1-' || i AS source1_id, k || '-target-' || i AS source2_id, 'Company ' || i AS name, CASE y WHEN 1 THEN i || ' Main Street' ELSE '9' || i || ' Side Road' END AS target_address, CASE y WHEN 1 THEN lpad(i::VARCHAR, 6, '0') ELSE lpad(i::VARCHAR, 6, '9') END AS target_code, CASE y WHEN 1 THEN 'India' ELSE 'France' END AS target_country, y AS label FROM (SELECT unnest(range(20)) AS i), (SELECT unnest([0, 1]) AS y), LATERAL (SELECT CASE y WHEN 1 THEN 'positive' ELSE 'negative' END AS k)")
 def synthetic_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .training import synthetic_pairs as made
 
-    return made(spark)
+    return made(spark).select("row_index", "pair_id", "source1_id", "source2_id", F.col("source1.name").alias("name"), F.col("source2.address").alias("target_address"), F.col("source2.postal_code").alias("target_code"), F.col("source2.country").alias("target_country"), "label")
 
 
 @query()
@@ -500,3 +515,152 @@ def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     result = train_classifier(_ml_pairs(spark, sf_dir), TrainingConfig(), saved_split=views.split(spark, sf_dir))
     return result.validation_predictions.select("pair_id", "label", F.round("probability", PLACES).alias("probability"))
+
+
+# Files: written by the query, read by the engine
+
+
+def _written(spark: SparkSession, label: str, lines: DataFrame, header: str | None = None) -> str:
+    """A text file of `lines` (place, value) in order, below a header."""
+    path = shared_path(spark, label)
+    if header is not None:
+        lines = lines.select("place", "value").unionByName(spark.createDataFrame([(-1, header)], "place long, value string"))
+    lines.orderBy("place").select("value").write.text(path)
+    return path
+
+
+def _candidate_file(spark: SparkSession, sf_dir: str) -> str:
+    """The candidate lists as a file, a blank line after every third."""
+    rows = views.lists(spark, sf_dir)
+    line = F.concat_ws("\t", "source1_entity_id", "candidates", F.concat(F.lit("key "), F.col("source1_row_index")))
+    blank = rows.filter("source1_row_index % 3 = 0").select((F.col("source1_row_index") * 2 + 1).alias("place"), F.lit("  ").alias("value"))
+    return _written(spark, "candidates", rows.select((F.col("source1_row_index") * 2).alias("place"), line.alias("value")).unionByName(blank), "Source1_Entity_ID\tCandidate_Entity_IDs\tblock")
+
+
+_FILE_PAIRS = "lines AS (SELECT *, row_number() OVER (ORDER BY source1_row_index) - 1 AS line FROM lists), file_pairs AS (SELECT source1_entity_id || '::' || c AS pair_id, source1_entity_id, c AS candidate_entity_id, line AS source1_row_index, (i - 1)::INT AS candidate_rank, 'key ' || source1_row_index AS block FROM (SELECT *, unnest(string_split(candidates, ',')) AS c, generate_subscripts(string_split(candidates, ','), 1) AS i FROM lines WHERE candidates <> ''))"
+
+
+@query(f"WITH {_FILE_PAIRS} SELECT * FROM file_pairs", "lists")
+def candidate_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidate_source.read_candidates(spark, _candidate_file(spark, sf_dir)).drop("candidate_source")
+
+
+@query("SELECT source1_entity_id, array_to_string(list_sort(matched), ',') AS matched FROM truth", "truth")
+def truth_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.truth(spark, sf_dir)
+    cell = F.when(F.size("matched") == 0, "[]").otherwise(F.concat(F.lit('"[""'), F.array_join("matched", '"", ""'), F.lit('""]"')))
+    path = _written(spark, "truth", rows.select(F.monotonically_increasing_id().alias("place"), F.concat_ws("\t", cell, F.concat(F.lit(" "), "source1_entity_id")).alias("value")), "matched_entity_ids\tsource1_entity_id")
+    return truth_source.read_truth(spark, path).select("source1_entity_id", F.array_join(F.array_sort("matched"), ",").alias("matched"))
+
+
+@query("SELECT source1_entity_id, split FROM split", "split")
+def split_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.split(spark, sf_dir).select(F.monotonically_increasing_id().alias("place"), F.concat(F.upper("split"), F.lit(" \t"), F.col("source1_entity_id")).alias("value"))
+    return truth_source.read_split(spark, _written(spark, "split", rows, "Split\tSource1_Entity_ID"))
+
+
+@query("SELECT source AS original_source, entity_id, business_name_normalized AS name, CASE WHEN trim(country_normalized) <> '' THEN country_normalized END AS country, len(CASE WHEN postal_codes = '' THEN []::VARCHAR[] ELSE string_split(postal_codes, ' ') END)::INT AS codes FROM recs", "recs")
+def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = None
+    for source in views.RAW:
+        raw = views.raw_source(spark, sf_dir, source)
+        line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) if c in raw.columns else F.lit("") for c in record_source.COLUMNS])
+        path = _written(spark, source, raw.select(F.monotonically_increasing_id().alias("place"), line.alias("value")))
+        headed = shared_path(spark, f"{source}-table")
+        spark.read.text(path).select(*[F.split("value", "\t")[i].alias(c) for i, c in enumerate(record_source.COLUMNS)]).write.csv(headed, sep="\t", header=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        one = record_ops.adapt_records(record_source.read_source(spark, headed), source)
+        found = one if found is None else found.unionByName(one)
+    return found.select("original_source", "entity_id", "name", "country", F.size("postal_codes").alias("codes"))
+
+
+@query(f"{_LINES} SELECT (row_number() OVER (ORDER BY row_index) - 1) AS row_index, value->>'pair_id' AS pair_id, value->>'source1_id' AS source1_id, value->>'source2_id' AS source2_id, value->'source1'->>'name' AS name, value->'source2'->>'postal_code' AS target_code, (value->>'label')::INT AS label, value->>'split' AS split FROM lines", "labelled", "records")
+def labelled_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _written(spark, "labelled", _lines(spark, sf_dir).withColumnRenamed("row_index", "place"))
+    return json_source.read_pairs(spark, path).select("row_index", "pair_id", "source1_id", "source2_id", F.col("source1.name").alias("name"), F.col("source2.postal_code").alias("target_code"), "label", "split")
+
+
+def _inference_file(spark: SparkSession, sf_dir: str) -> str:
+    rows = record_ops.inference_rows(joins.join_records(views.pairs(spark, sf_dir).withColumn("label", F.lit(None).cast("int")).withColumn("split", F.lit(None).cast("string")), views.records(spark, sf_dir)), collection_aware=True)
+    return _written(spark, "rows", rows.select(F.col("row_index").alias("place"), F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")))
+
+
+@query("SELECT (row_number() OVER (ORDER BY p.row_index) - 1) AS row_index, pair_id, source1_entity_id AS source1_id, CASE WHEN candidate_source = 'source2' THEN 'S2' ELSE 'S3' END AS target_source, candidate_entity_id AS target_id, a.name AS source1_name, b.address AS target_address, array_to_string(b.postal_codes, ' ') AS target_codes FROM pairs p JOIN records a ON a.entity_id = source1_entity_id JOIN records b ON b.entity_id = candidate_entity_id", "pairs", "records")
+def mapped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generic JSON lines, read as variants and mapped by paths."""
+    from .mapping import default_mapping
+
+    mapped = default_mapping(True).apply(json_source.read_jsonl(spark, _inference_file(spark, sf_dir)))
+    return mapped.select("row_index", "pair_id", "source1_id", "target_source", "target_id", F.col("source1.name").alias("source1_name"), F.col("source2.address").alias("target_address"), F.array_join("source2.postal_codes", " ").alias("target_codes"))
+
+
+_ORDERED = f"SELECT (row_number() OVER (ORDER BY p.source1_row_index, p.candidate_rank) - 1) AS place, f.pair_id, round({DEMO_SQL}, {PLACES}) AS probability FROM featured f JOIN pairs p USING (pair_id)"
+
+
+def _read_scores(spark: SparkSession, path: str) -> DataFrame:
+    return numbered_lines(spark, path).select(F.col("filled_no").alias("place"), F.get_json_object("value", "$.pair_id").alias("pair_id"), F.round(F.get_json_object("value", "$.probability").cast("double"), PLACES).alias("probability"))
+
+
+@query(f"WITH {_FEATURED} {_ORDERED}", "pairs", "records", "split")
+def predict_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of nested rows to a file of scores, read back in the order of its lines."""
+    from . import mapping, training
+
+    model, out = training.PairModel(*_vocabularies(spark, sf_dir), DEMO), shared_path(spark, "predicted")
+    mapping.predict_file(spark, _inference_file(spark, sf_dir), mapping.default_mapping(True), model, out)
+    return _read_scores(spark, out)
+
+
+@query(f"WITH {_FEATURED} {_ORDERED}", "pairs", "records", "split")
+def score_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores written as JSON lines in candidate order, read back in the order of the lines."""
+    out = shared_path(spark, "scores")
+    scoring.write_scores(scoring.score(views.pairs(spark, sf_dir), views.records(spark, sf_dir), DEMO, *_vocabularies(spark, sf_dir), mask_multiple_codes=False), out)
+    return _read_scores(spark, out)
+
+
+@query(f"WITH {_FEATURED} SELECT (row_number() OVER (ORDER BY p.source1_row_index, p.candidate_rank) - 1) AS place, f.pair_id || chr(9) || p.source1_entity_id || chr(9) || CASE WHEN p.candidate_source = 'source2' THEN 'S2' ELSE 'S3' END || chr(9) || p.candidate_entity_id || chr(9) || printf('%.6f', {DEMO_SQL}) AS line FROM featured f JOIN pairs p USING (pair_id)", "pairs", "records", "split")
+def score_table_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tab-separated table of scores, its lines as they stand in the files."""
+    out = shared_path(spark, "table")
+    scoring.write_score_table(scoring.score(views.pairs(spark, sf_dir), views.records(spark, sf_dir), DEMO, *_vocabularies(spark, sf_dir), mask_multiple_codes=False), out)
+    lines = numbered_lines(spark, out).filter("NOT startswith(value, 'pair_id\t')")
+    return lines.select((F.row_number().over(Window.orderBy("line_no")) - 1).cast("long").alias("place"), F.col("value").alias("line"))
+
+
+@query(f"WITH {_FEATURED}, {_FILE_PAIRS} SELECT p.pair_id, round({DEMO_SQL}, {PLACES}) AS probability, p.source1_row_index, p.candidate_rank FROM featured f JOIN file_pairs p USING (pair_id)", "pairs", "lists", "records", "split")
+def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a candidate file as a stream of files, checked against records and split, each scored once."""
+    from ..streaming.scoring import score_stream
+
+    incoming, out, records = shared_path(spark, "incoming"), shared_path(spark, "streamed"), views.records(spark, sf_dir)
+    found = candidate_source.read_candidates(spark, _candidate_file(spark, sf_dir))
+    found.select("source1_entity_id", "candidate_entity_id", "source1_row_index", "candidate_rank").repartition(6).write.json(incoming)
+    query_ = score_stream(spark, incoming, records, DEMO, out, shared_path(spark, "stream-state"), *_vocabularies(spark, sf_dir), files_a_batch=2, split=views.split(spark, sf_dir), mask_multiple_codes=False)
+    query_.awaitTermination()
+    return spark.read.parquet(out).select("pair_id", F.round("probability", PLACES).alias("probability"), "source1_row_index", "candidate_rank")
+
+
+@query(f"WITH {_SCORES.replace('SELECT label,', 'SELECT pair_id, label,')} SELECT pair_id FROM scores WHERE probability * 1.25 > 1", "labelled")
+def invalid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = (F.conv(F.substring(F.md5("pair_id"), 1, 4), 16, 10).cast("long") % 1000) / F.lit(1000.0)
+    return scoring.score_violations(views.labelled(spark, sf_dir).select("pair_id", (p * 1.25).alias("probability"))).select("pair_id")
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN s_nationkey::VARCHAR WHEN 1 THEN array_to_string(list_sort(list_distinct([s_nationkey::VARCHAR, '0' || s_nationkey])), '|') ELSE '' END AS codes FROM supplier")
+def record_postal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, nation = F.col("s_suppkey") % 3, F.col("s_nationkey").cast("string")
+    scalar, several = F.when(k == 0, F.concat(F.lit(" "), nation)), F.when(k == 1, F.array(nation, F.concat(F.lit("0-"), nation), nation))
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", F.array_join(record_codes(scalar, several), "|").alias("codes"))
+
+
+@query(f"""{_SAMPLED.replace("FROM labelled)", "FROM labelled WHERE pair_id IN (SELECT pair_id FROM file_pairs))", 1).replace("WITH ranked", f"WITH {_FILE_PAIRS}, ranked")}
+    SELECT count(*) AS total_pairs_written, count(*) FILTER (split = 'train' AND label = 1) AS train_positives, count(*) FILTER (split = 'train' AND label = 0) AS train_negatives, count(*) FILTER (split = 'validation') AS validation_pairs, (SELECT count(*) FROM truth) AS covered_entities, (SELECT count(*) FROM file_pairs) AS raw_pairs FROM kept""", "lists", "labelled")
+def prepare_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate file to training data on disk: the report's figures, and the lines that stand in the output."""
+    out = shared_path(spark, "prepared")
+    report = preparation.prepare_training_data(spark, _candidate_file(spark, sf_dir), views.records(spark, sf_dir), views.split(spark, sf_dir), views.truth(spark, sf_dir), out, 2, 1, exact=False)
+    written = spark.read.text(out).count()
+    if written != report["total_pairs_written"]:
+        raise ValueError("The report and the written lines differ.")
+    row = (written, report["train"]["positives"], report["train"]["negatives"], report["validation"]["total"], report["ground_truth"]["covered_entities"], report["raw_candidates"]["total"])
+    return spark.createDataFrame([row], "total_pairs_written long, train_positives long, train_negatives long, validation_pairs long, covered_entities long, raw_pairs long")

@@ -20,13 +20,16 @@ from .ensemble import Ensemble
 def featurize(pairs: DataFrame, records: DataFrame, name: TfIdf | None = None, address: TfIdf | None = None, mask_multiple_codes: bool = False) -> DataFrame:
     """The pairs with the twelve features as columns.
 
-    Each record is prepared once; the two joins carry prepared structs of at most a few hundred bytes.
+    Each record is prepared once; the two joins carry prepared structs of at most a few hundred bytes. A pair without
+    one of its records fails the query; none is dropped.
     """
     prepared = with_vectors(record_features(records, mask_multiple_codes), name, address)
     packed = F.struct("f", "name_vector", "address_vector")
     left = prepared.filter(F.col("entity_id").startswith("S1-")).select(F.col("entity_id").alias("source1_entity_id"), packed.alias("left"))
     right = prepared.filter(~F.col("entity_id").startswith("S1-")).select(F.col("entity_id").alias("candidate_entity_id"), packed.alias("right"))
-    joined = pairs.join(left, "source1_entity_id").join(right, "candidate_entity_id")
+    joined = pairs.join(left, "source1_entity_id", "left").join(right, "candidate_entity_id", "left")
+    found = lambda side, key: F.coalesce(side, F.raise_error(F.concat(F.lit("Missing record join: "), F.col(key)))).alias(side)
+    joined = joined.select(*pairs.columns, found("left", "source1_entity_id"), found("right", "candidate_entity_id"))
     return joined.select(*pairs.columns, *feature_columns())
 
 

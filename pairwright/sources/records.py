@@ -11,8 +11,9 @@ COLUMNS = ("entity_id", "business_name", "business_address", "country", "busines
 
 
 def read_source(spark: SparkSession, path: str | Path) -> DataFrame:
-    """One normalised entity table: tab-separated text with a header, all columns text, only those used are read."""
-    return spark.read.csv(str(path), sep="\t", header=True, quote='"', escape='"', schema=", ".join(f"{c} string" for c in COLUMNS), enforceSchema=False, nullValue="\0")
+    """One normalised entity table: tab-separated text with a header, all columns text. A row of another width fails the read."""
+    read = spark.read.option("columnPruning", False)
+    return read.csv(str(path), sep="\t", header=True, quote='"', escape='"', mode="FAILFAST", schema=", ".join(f"{c} string" for c in COLUMNS), enforceSchema=False, nullValue="\0")
 
 
 class IntegrityError(ValueError):

@@ -46,7 +46,26 @@ def test_score(spark, files, capsys):
 def test_profile_and_pilot(spark, files):
     sf = "/root/testdata/sf0.001"
     pairs, records = views.pairs(spark, sf), views.records(spark, sf)
-    assert set(profile.profile(pairs, records, DEMO)) == {"candidates", "join", "record_features", "features", "score"}
+    assert set(profile.profile(pairs, records, DEMO)) >= {"candidates", "join", "record_features", "features", "score"}
     report = profile.pilot(views.lists(spark, sf), pairs, records, views.truth(spark, sf), PairModel.load(spark, str(files / "model")), str(files / "table"))
     assert report["failed_lookups"] == 0 and report["pairs"] == pairs.count() and report["coverage"]["total_source1_entities"] > 0
     assert spark.read.csv(str(files / "table"), sep="\t", header=True).count() == report["pairs"]
+
+
+def test_pilot_and_profile_commands(spark, files, capsys):
+    assert cli.main(["pilot", *common(files), "--truth", str(files / "truth.tsv"), "--model", str(files / "model"), "--report", str(files / "report")]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["pairs"] == 5 and report["failed_lookups"] == 0 and report["candidate_recall"]["recall"] == 1.0 and report["coverage"]["empty_entities"] == 1
+    assert json.loads("\n".join(r.value for r in spark.read.text(str(files / "report")).collect()))["pairs"] == 5
+    assert cli.main(["profile", *common(files), "--model", str(files / "model")]) == 0
+    assert {"score", "own_score"} <= set(json.loads(capsys.readouterr().out.strip().splitlines()[-1]))
+    with pytest.raises(SystemExit):
+        cli.main(["score", *common(files), "--model", str(files / "model")])
+
+
+def test_public_names():
+    import pairwright
+
+    assert all(getattr(pairwright, name) is not None for name in pairwright.__all__) and len(pairwright.__all__) > 40
+    with pytest.raises(AttributeError):
+        pairwright.nothing

@@ -203,3 +203,72 @@ def test_score_file_keeps_order(spark, tmp_path):
     n = score_file(spark, ["S1-1\tS3-2,S2-1", "S1-0\tS2-3"], all_records(table(1), table(2), table(3)), split, DEMO, str(tmp_path / "o"))
     rows = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "o")).collect()]
     assert n == 3 and [(r["pair_id"], r["source1_row_index"], r["candidate_rank"]) for r in rows] == [("S1-1::S3-2", 0, 0), ("S1-1::S2-1", 0, 1), ("S1-0::S2-3", 1, 0)]
+
+
+RAW = "entity_id string, business_name_normalized string, business_address_normalized string, country_normalized string, postal_codes string"
+
+
+def shop_records(spark):
+    from pairwright.operators.records import all_records
+
+    return all_records(*[spark.createDataFrame([(f"S{s}-{i}", f"shop {i}", "1 road", "x", "1") for i in range(4)], RAW) for s in (1, 2, 3)])
+
+
+def test_a_pair_without_its_record_is_never_dropped(spark, tmp_path):
+    from pairwright.operators.candidates import enrich, with_row_index
+    from pairwright.plans.scoring import score
+    from pairwright.sources.truth import read_split
+    from pairwright.streaming.scoring import scored_batch
+
+    records = shop_records(spark)
+    batch = lambda *rows, more="": spark.createDataFrame([(s1, c, k, 0, *x) for k, (s1, c, *x) in enumerate(rows)], "source1_entity_id string, candidate_entity_id string, source1_row_index long, candidate_rank int" + more)
+    good, bad = batch(("S1-0", "S2-0"), ("S1-1", "S3-1")), batch(("S1-0", "S2-0"), ("S1-1", "S3-9"))
+    assert scored_batch(good, records, DEMO, None).count() == 2
+    with pytest.raises(InputError, match="Missing record join: S3-9"):
+        scored_batch(bad, records, DEMO, None)
+    with pytest.raises(Exception, match="Missing record join: S3-9"):
+        score(enrich(with_row_index(bad)), records, DEMO).collect()
+    split = read_split(spark, {"train_source1_entity_ids": ["S1-0"], "validation_source1_entity_ids": []})
+    with pytest.raises(InputError, match="No saved split assignment for S1-1"):
+        scored_batch(good, records, DEMO, None, split=split)
+    both = read_split(spark, {"train_source1_entity_ids": ["S1-0"], "validation_source1_entity_ids": ["S1-1"]})
+    truth = spark.createDataFrame([("S1-0", ["S2-0"]), ("S1-1", [])], "source1_entity_id string, matched array<string>")
+    assert scored_batch(good, records, DEMO, None, split=both, truth=truth, require_labels=True).count() == 2
+    for row, message in ((("S1-1", "S3-1", 1, None), "label conflicts"), (("S1-1", "S3-1", None, "train"), "split assignment conflicts"), (("S1-2", "S3-1", None, None), "No saved split")):
+        with pytest.raises(InputError, match=message):
+            scored_batch(batch(("S1-0", "S2-0", 1, None), row, more=", label int, split string"), records, DEMO, None, split=both, truth=truth)
+
+
+def test_unsupported_trees_raise(spark):
+    one = CONSTANT.replace("num_leaves=1", "num_leaves=2").replace("split_feature=\n", "split_feature=0\n").replace("threshold=\n", "threshold=0.5\ndecision_type={}\n").replace("left_child=\n", "left_child=-1\n").replace("right_child=\n", "right_child=-2\n").replace("leaf_value=0", "leaf_value=-1 1\nis_linear=0")
+    for kind in (0, 2, 8, 10):
+        assert Ensemble.from_text(one.replace("{}", str(kind))).trees[0].threshold == [0.5]
+    for text, message in ((one.replace("{}", "1"), "Categorical"), (one.replace("{}", "6"), "zero as missing"), (one.replace("{}", "2").replace("is_linear=0", "is_linear=1"), "Linear")):
+        with pytest.raises(ValueError, match=message):
+            Ensemble.from_text(text)
+
+
+def test_trees_keep_to_num_leaves(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"p{i}", f"a{i % 40}", f"b{i}", int(rng.integers(0, 2))) for i in range(400)]
+    word = lambda: F.concat(F.lit("w"), (F.rand(7) * 9).cast("int"), F.lit(" x"), (F.rand(8) * 30).cast("int"))
+    record = F.struct(word().alias("name"), word().alias("address"), F.lit("1").alias("postal_code"), F.lit("x").alias("country"), F.lit(None).cast("array<string>").alias("postal_codes"))
+    pairs = spark.createDataFrame(rows, "pair_id string, source1_id string, source2_id string, label int").withColumn("row_index", F.substring("pair_id", 2, 9).cast("long")).withColumn("source2", record).withColumn("split", F.lit(None).cast("string"))
+    fixed = F.struct(F.lit("w1 x2").alias("name"), F.lit("w3 x4").alias("address"), F.lit("1").alias("postal_code"), F.lit("x").alias("country"), F.lit(None).cast("array<string>").alias("postal_codes"))
+    pairs = spark.createDataFrame(pairs.withColumn("source1", fixed).collect(), pairs.withColumn("source1", fixed).schema)
+    model = train_classifier(pairs, TrainingConfig(num_boost_round=3, num_leaves=5, min_data_in_leaf=2)).model
+    sizes = [len(t.leaf_value) for t in model.ensemble.trees]
+    assert max(sizes) == 5 and all(len(t.split_feature) == len(t.leaf_value) - 1 for t in model.ensemble.trees)
+    assert Ensemble.from_text(model.ensemble.to_text()) == model.ensemble
+
+
+def test_prefix_sums_of_many_blocks(spark):
+    from pairwright.operators import blocks
+
+    rng = np.random.default_rng(2)
+    at = sorted(rng.choice(60_000, 900, replace=False).tolist())
+    sums = spark.createDataFrame([(int(b), int(b) % 7, f"v{b}") for b in at], "b long, n long, v string")
+    got = {r.b: r.s for r in blocks.starts(sums, "b", "n", "s").collect()}
+    assert got == {b: sum(x % 7 for x in at[:i]) for i, b in enumerate(at)}
+    before = {r.b: r.p for r in blocks.previous(sums, "b", F.col("v"), "p").collect()}
+    assert before == {b: f"v{at[i - 1]}" if i else None for i, b in enumerate(at)}

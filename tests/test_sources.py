@@ -140,3 +140,14 @@ def test_source_tables_and_fingerprints(spark, tmp_path):
     path.write_text("changed")
     with pytest.raises(IntegrityError):
         check_fingerprints(spark, path, manifest)
+
+
+@pytest.mark.parametrize("row", ["S1-1\tA", "\t".join(["S1-1"] * 12)])
+def test_source_rows_of_another_width_fail(spark, tmp_path, row):
+    from pairwright.operators.records import adapt_records
+    from pairwright.sources.records import COLUMNS
+
+    path = tmp_path / "s1.tsv"
+    path.write_text("\t".join(COLUMNS) + "\n" + "\t".join(["S1-2"] + [""] * 10) + "\n" + row + "\n")
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
+        adapt_records(read_source(spark, path), "source1").select("entity_id", "name").collect()
