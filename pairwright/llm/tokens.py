@@ -80,6 +80,7 @@ class WordLengths(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         super().__init__()
         self.frequent, self.tokenizer = frequent, Tokenizer.from_file(path)
+        self.held: dict[str, int] = {}  # words of the table that have come up; they stay when the cache is emptied
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
@@ -91,9 +92,12 @@ class WordLengths(dict):
             missed = list({w for w in words if w not in self})
             if len(self) + len(missed) > CACHE_WORDS:
                 self.clear()
-                missed = list(set(words))
+                self.update(self.held)
+                missed = [w for w in set(words) if w not in self]
             if self.frequent:
-                self.update(self.frequent.find(missed))
+                found = self.frequent.find(missed)
+                self.held.update(found)
+                self.update(found)
                 missed = [w for w in missed if w not in self]
             self.update(zip(missed, lengths(self.tokenizer, missed), strict=True))
             return sum(map(self.__getitem__, words))
