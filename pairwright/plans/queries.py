@@ -53,6 +53,32 @@ DEMO = Ensemble(FEATURE_NAMES, [
 ])
 DEMO_SQL = "1 / (1 + exp(-((CASE WHEN address_token_jaccard <= 0.15 THEN -0.6 WHEN address_numeric_overlap <= 0.3 THEN 0.4 ELSE 0.9 END + CASE WHEN name_levenshtein_similarity <= 0.55 THEN -0.2 ELSE 0.5 END + CASE WHEN postal_code_match <= 0.5 THEN -0.3 WHEN country_match <= 0.5 THEN 0.1 ELSE 0.7 END + CASE WHEN name_char_tfidf_similarity <= 0.35 THEN -0.4 ELSE 0.3 END)::DOUBLE)))"
 
+#: As many trees and leaves as a model trained with the default settings has, by a rule.
+BOOSTED_TREES, BOOSTED_LEAVES = 100, 15
+
+
+def _boosted_tree(k: int) -> Tree:
+    """Node i has the children 2i + 1 and 2i + 2; those past the last inner node are leaves."""
+    inner = BOOSTED_LEAVES - 1
+    child = lambda i: i if i < inner else inner - 1 - i
+    return Tree(
+        [((k * 31 + j * 17) % 101 - 50) / 500 for j in range(BOOSTED_LEAVES)], [(k * 7 + i * 5) % len(FEATURE_NAMES) for i in range(inner)],
+        [((k * 13 + i * 29) % 97 + 0.37) / 100 for i in range(inner)], [child(2 * i + 1) for i in range(inner)], [child(2 * i + 2) for i in range(inner)],
+    )
+
+
+def _boosted_sql() -> str:
+    """The rule of the trees again, as conditions."""
+
+    def at(k: int, i: int) -> str:
+        j = i - BOOSTED_LEAVES + 1
+        if j >= 0:
+            return f"{((k * 31 + j * 17) % 101 - 50) / 500}::DOUBLE"
+        return f"CASE WHEN {FEATURE_NAMES[(k * 7 + i * 5) % len(FEATURE_NAMES)]} <= {((k * 13 + i * 29) % 97 + 0.37) / 100}::DOUBLE THEN {at(k, 2 * i + 1)} ELSE {at(k, 2 * i + 2)} END"
+
+    return f"list_sum([{', '.join(at(k, 0) for k in range(BOOSTED_TREES))}])"
+
+
 # Scalar pieces in DuckDB, over records (see views) and over joined pairs.
 _TOKENS = "list_distinct(list_filter(string_split_regex({0}, '\\s+'), lambda t: t <> ''))"
 _PREP = f"""prep AS (SELECT original_source, entity_id, trim(lower(coalesce(name, ''))) AS name, trim(lower(coalesce(address, ''))) AS address,
@@ -495,6 +521,14 @@ def score_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("probability", F.round("probability", PLACES)).drop("row_index", "label")
 
 
+@query(f"WITH {_FEATURED} SELECT pair_id, round(1 / (1 + exp(-{_boosted_sql()})), {PLACES}) AS probability FROM featured", "pairs", "records", "split")
+def score_pairs_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair by a model of the size that training gives, read back from its text form."""
+    model = Ensemble.from_text(Ensemble(FEATURE_NAMES, [_boosted_tree(k) for k in range(BOOSTED_TREES)]).to_text())
+    scores = scoring.score(views.pairs(spark, sf_dir), views.records(spark, sf_dir), model, *_vocabularies(spark, sf_dir), mask_multiple_codes=False)
+    return scores.select("pair_id", F.round("probability", PLACES).alias("probability"))
+
+
 @query(f"WITH {_FEATURED} SELECT pair_id, printf('%.6f', {DEMO_SQL}) AS line FROM featured", "pairs", "records", "split")
 def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = scoring.score(views.pairs(spark, sf_dir), views.records(spark, sf_dir), DEMO, *_vocabularies(spark, sf_dir), mask_multiple_codes=False)
