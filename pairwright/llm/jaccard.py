@@ -17,7 +17,8 @@
 
 Steps 3 to 5 deal a key (shingle, component) with more than BLOCK rows over blocks by size and hash: sizes are cut
 where a ratio of the threshold is passed, so links are within a band or between neighbours, and only those pairs of
-blocks make tasks. Counts come from aggregations alone; no window or task sees a whole key.
+blocks make tasks. In steps 4 and 5 a block also has about BLOCK_SHINGLES shingles at most, so that what a task holds
+doesn't grow with the length of texts. Counts come from aggregations alone; no window or task sees a whole key.
 
 Sets are of 64-bit digests of shingles; n_shingles and links are exact up to collisions of those.
 
@@ -46,6 +47,8 @@ FREQUENT_WORDS = 1 << 20
 #: A word counts as frequent from this many documents on; lossy counting forgets words seen once in so many entries.
 LEAST_DF, COUNTED_WORDS = 8, 250_000
 BLOCK = 1024
+#: Where tasks hold whole sets or bitmaps, a block has so many shingles, whatever the lengths of its texts.
+BLOCK_SHINGLES = 1 << 21
 #: Bits of the sketch that filters group pairs.
 SKETCH = 256
 #: Lists of up to so many members are compared without arrays; results leave a worker so many rows at a time.
@@ -237,14 +240,17 @@ def band(n: Column, percent: int = PERCENT) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(log(100 / percent) * (1 + 1e-9))).cast("long")
 
 
-def with_tasks(rows: DataFrame, key: str, name: str, percent: int = PERCENT) -> DataFrame:
+def with_tasks(rows: DataFrame, key: str, name: str, percent: int = PERCENT, shingles: int | None = None) -> DataFrame:
     """Add tasks: the pairs of blocks (i, j) of its key where each row is compared, and on which side of them.
 
-    Keys with up to BLOCK rows are one block (0, 0). A larger one is cut by band and hash of `name`: any two rows
-    whose sizes allow a link meet in exactly one task. `rows` should be a materialized table: it is read three times.
+    Keys with up to BLOCK rows, and up to `shingles` shingles where it is given, are one block (0, 0). A larger one is
+    cut by band and hash of `name`: any two rows whose sizes allow a link meet in exactly one task. `rows` should be a
+    materialized table: it is read three times.
     """
-    hot = few(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > BLOCK).select(key), "hot-keys")
-    banded = rows.join(hot, key, "left_semi").groupBy(key, band(F.col("n"), percent).alias("_band")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("_m"))
+    k = F.count(F.lit(1))
+    load = F.ceil(k / BLOCK) if shingles is None else F.least(k, F.greatest(F.ceil(k / BLOCK), F.ceil(F.sum("n") / shingles)))
+    hot = few(rows.groupBy(key).agg(load.alias("_m")).filter("_m > 1").select(key), "hot-keys")
+    banded = rows.join(hot, key, "left_semi").groupBy(key, band(F.col("n"), percent).alias("_band")).agg(load.cast("long").alias("_m"))
     near = Window.partitionBy(key).orderBy("_band")  # a row a band: some hundred at most
     at = lambda f, by: F.when(f("_band").over(near) == F.col("_band") + by, f("_m").over(near))
     blocks = few(banded.select(F.col(key).alias("_key"), "_band", "_m", at(F.lag, -1).alias("_before"), at(F.lead, 1).alias("_after")), "hot-blocks")
@@ -478,7 +484,7 @@ def by_block(dealt: DataFrame, key: str, fields: list[str], task, names: list[st
 def filtered(classes: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): edges of the components that bitmaps leave; classes: class, rep, docs, n, component, a materialized table."""
     bitmaps = signed.select(F.col("class").alias("_c"), F.col("doc_id").alias("_d"), "bitmap")
-    whole = with_tasks(classes, "component", "class", percent).join(bitmaps, (F.col("class") == F.col("_c")) & (F.col("rep") == F.col("_d")))
+    whole = with_tasks(classes, "component", "class", percent, BLOCK_SHINGLES).join(bitmaps, (F.col("class") == F.col("_c")) & (F.col("rep") == F.col("_d")))
 
     def task(left: list, right: list | None) -> list:
         return sorted(near_bitmaps(left, right, percent).items())
@@ -488,7 +494,7 @@ def filtered(classes: DataFrame, signed: DataFrame, percent: int = PERCENT) -> D
 
 def verified(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
     """(class, low, links) of every class with a link, a row for each task that finds one; classes: class, rep, docs, n, component."""
-    dealt = few(with_tasks(classes, "component", "class", percent), "jaccard-tasks")
+    dealt = few(with_tasks(classes, "component", "class", percent, BLOCK_SHINGLES), "jaccard-tasks")
     texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("rep"), "text")
     names, kinds = ["component", "class", "docs", "tasks"], "component long, class long, docs long, tasks array<struct<i: long, j: long, side: int>>"
 

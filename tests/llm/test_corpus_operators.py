@@ -180,6 +180,11 @@ def test_small_blocks_and_no_broadcast_give_the_same(spark, near, monkeypatch):
     assert linked(spark.createDataFrame(near, "doc_id long, text string")) == brute(near)
 
 
+def test_blocks_of_few_shingles_give_the_same(spark, near, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 100)
+    assert linked(spark.createDataFrame(near, "doc_id long, text string")) == brute(near)
+
+
 def test_lists_that_may_be_long_give_the_same(spark, near, monkeypatch):
     monkeypatch.setattr(jaccard, "HOT_LEVEL", 0)
     assert linked(spark.createDataFrame(near, "doc_id long, text string")) == brute(near)
@@ -227,11 +232,12 @@ def test_short_lists_are_compared_as_long_ones(monkeypatch):
         assert jaccard.near_groups(*sides, 80) == short
 
 
-def test_any_two_rows_meet_in_one_task(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "BLOCK", 4)
+@pytest.mark.parametrize(("block", "most"), [(4, None), (1000, 50), (1000, 1), (4, 500)])
+def test_any_two_rows_meet_in_one_task(spark, monkeypatch, block, most):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     rng = random.Random(1)
     rows = [(k, i * 10 + k, rng.randint(1, 60)) for k, size in ((1, 3), (2, 40), (3, 90)) for i in range(size)]
-    dealt = jaccard.with_tasks(spark.createDataFrame(rows, "key long, name long, n long"), "key", "name", 80).collect()
+    dealt = jaccard.with_tasks(spark.createDataFrame(rows, "key long, name long, n long"), "key", "name", 80, most).collect()
     tasks = {r.name: {(t.i, t.j): t.side for t in r.tasks} for r in dealt}
     for x in dealt:
         for y in dealt:
