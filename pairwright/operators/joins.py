@@ -27,10 +27,18 @@ def derive_labels(pairs: DataFrame, truth: DataFrame) -> DataFrame:
 
     Entities the truth doesn't have stay uncovered; `join_violations` makes them fail.
     """
+    return label_covered(cover(pairs, truth))
+
+
+def cover(rows: DataFrame, truth: DataFrame) -> DataFrame:
+    """Add _matched, the entity's matches; null where the truth doesn't have it. `rows` may be lists before their pairs are made."""
+    return rows.join(truth.select("source1_entity_id", F.col("matched").alias("_matched")), "source1_entity_id", "left")
+
+
+def label_covered(pairs: DataFrame) -> DataFrame:
+    """The labels of pairs that `cover` has seen."""
     given = pairs.withColumn("_given", F.col("label") if "label" in pairs.columns else F.lit(None).cast("int")).drop("label")
-    known = truth.select("source1_entity_id", F.col("matched").alias("_matched"))
-    joined = given.join(known, "source1_entity_id", "left")
-    return joined.withColumn("_covered", F.col("_matched").isNotNull()).withColumn("label", F.array_contains("_matched", F.col("candidate_entity_id")).cast("int")).drop("_matched")
+    return given.withColumn("_covered", F.col("_matched").isNotNull()).withColumn("label", F.array_contains("_matched", F.col("candidate_entity_id")).cast("int")).drop("_matched")
 
 
 def assign_split(pairs: DataFrame, split: DataFrame) -> DataFrame:
