@@ -31,6 +31,6 @@ def moved(df) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("name", ["assign_split"])
+@pytest.mark.parametrize("name", ["assign_split", "brier_score"])
 def test_pairs_are_not_moved(spark, name):
     assert moved(queries.QUERIES[name](spark, SMALL)) == []
