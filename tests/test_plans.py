@@ -5,6 +5,7 @@ import re
 import pytest
 from conftest import SMALL
 
+from pairwright.operators import audits
 from pairwright.plans import queries
 
 
@@ -31,6 +32,13 @@ def moved(df) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("name", ["assign_split", "brier_score"])
+@pytest.mark.parametrize("name", ["assign_split", "brier_score", "duplicate_edges"])
 def test_pairs_are_not_moved(spark, name):
     assert moved(queries.QUERIES[name](spark, SMALL)) == []
+
+
+def test_later_occurrences_sort_once(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "a")], "n long, k string")
+    found = audits.later_occurrences(rows, ["k"], ["n"])
+    assert sorted(r.n for r in found.collect()) == [3, 4]
+    assert not any("Join" in node for _, node in plan(found))
