@@ -32,7 +32,7 @@ def moved(df) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("name", ["assign_split", "brier_score", "duplicate_edges"])
+@pytest.mark.parametrize("name", ["assign_split", "brier_score", "duplicate_edges", "batch_summary"])
 def test_pairs_are_not_moved(spark, name):
     assert moved(queries.QUERIES[name](spark, SMALL)) == []
 
@@ -42,3 +42,11 @@ def test_later_occurrences_sort_once(spark):
     found = audits.later_occurrences(rows, ["k"], ["n"])
     assert sorted(r.n for r in found.collect()) == [3, 4]
     assert not any("Join" in node for _, node in plan(found))
+
+
+def test_a_summary_is_added_up_by_entity(spark):
+    rows = spark.createDataFrame([("S1-1", "source2", 1, "train"), ("S1-1", "source2", None, "train"), ("S1-2", "source3", 0, None)], "source1_entity_id string, candidate_source string, label int, split string")
+    summary = audits.batch_summary(rows)
+    assert summary.first().asDict() == {"total_candidates": 3, "unique_source1_entities": 2, "candidate_sources": ["source2", "source3"], "labeled_count": 2, "unlabeled_count": 1, "train_count": 2, "validation_count": 0, "unassigned_count": 1}
+    assert audits.batch_summary(rows.limit(0)).first().total_candidates == 0
+    assert not any("collect_set" in node for _, node in plan(summary)[-4:])
