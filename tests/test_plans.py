@@ -32,7 +32,7 @@ def moved(df) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("name", ["assign_split", "brier_score", "duplicate_edges", "batch_summary", "candidate_order"])
+@pytest.mark.parametrize("name", ["assign_split", "brier_score", "duplicate_edges", "batch_summary", "candidate_order", "batches"])
 def test_pairs_are_not_moved(spark, name):
     assert moved(queries.QUERIES[name](spark, SMALL)) == []
 
