@@ -32,7 +32,7 @@ def moved(df) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("name", ["assign_split", "brier_score", "duplicate_edges", "batch_summary", "candidate_order", "batches"])
+@pytest.mark.parametrize("name", ["assign_split", "brier_score", "duplicate_edges", "batch_summary", "candidate_order", "batches", "average_precision"])
 def test_pairs_are_not_moved(spark, name):
     assert moved(queries.QUERIES[name](spark, SMALL)) == []
 
@@ -50,3 +50,7 @@ def test_a_summary_is_added_up_by_entity(spark):
     assert summary.first().asDict() == {"total_candidates": 3, "unique_source1_entities": 2, "candidate_sources": ["source2", "source3"], "labeled_count": 2, "unlabeled_count": 1, "train_count": 2, "validation_count": 0, "unassigned_count": 1}
     assert audits.batch_summary(rows.limit(0)).first().total_candidates == 0
     assert not any("collect_set" in node for _, node in plan(summary)[-4:])
+
+
+def test_scores_are_made_once(spark):
+    assert any(node.startswith("InMemoryTableScan") for _, node in plan(queries.QUERIES["average_precision"](spark, SMALL)))
