@@ -5,7 +5,7 @@ import re
 import pytest
 from conftest import SMALL
 
-from pairwright.operators import audits
+from pairwright.operators import audits, sampling
 from pairwright.plans import queries
 
 
@@ -32,7 +32,7 @@ def moved(df) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("name", ["assign_split", "brier_score", "duplicate_edges", "batch_summary", "candidate_order", "batches", "average_precision"])
+@pytest.mark.parametrize("name", ["assign_split", "brier_score", "duplicate_edges", "batch_summary", "candidate_order", "batches", "average_precision", "sample_exact", "sample_hash"])
 def test_pairs_are_not_moved(spark, name):
     assert moved(queries.QUERIES[name](spark, SMALL)) == []
 
@@ -54,3 +54,10 @@ def test_a_summary_is_added_up_by_entity(spark):
 
 def test_scores_are_made_once(spark):
     assert any(node.startswith("InMemoryTableScan") for _, node in plan(queries.QUERIES["average_precision"](spark, SMALL)))
+
+
+def test_sides_other_than_training_keep_their_rules(spark):
+    """Negatives of a run that no side has are drawn away, as before; validation stays."""
+    rows = [(1, i, "S1-1", f"p{i}", 0, None) for i in range(4)] + [(2, 9 + i, "S1-2", f"q{i}", 0, "validation") for i in range(3)]
+    pairs = spark.createDataFrame(rows, "run long, row_index long, source1_entity_id string, pair_id string, label int, split string")
+    assert sorted(r.pair_id for r in sampling.sample_exact(pairs, 1, 1).collect()) == ["q0", "q1", "q2"]
