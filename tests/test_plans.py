@@ -61,3 +61,9 @@ def test_sides_other_than_training_keep_their_rules(spark):
     rows = [(1, i, "S1-1", f"p{i}", 0, None) for i in range(4)] + [(2, 9 + i, "S1-2", f"q{i}", 0, "validation") for i in range(3)]
     pairs = spark.createDataFrame(rows, "run long, row_index long, source1_entity_id string, pair_id string, label int, split string")
     assert sorted(r.pair_id for r in sampling.sample_exact(pairs, 1, 1).collect()) == ["q0", "q1", "q2"]
+
+
+def test_the_first_lines_are_taken_before_their_records(spark):
+    nodes = [node for _, node in plan(queries.QUERIES["average_line_bytes"](spark, SMALL))]
+    first = max(i for i, node in enumerate(nodes) if node.startswith("TakeOrdered"))
+    assert any(re.search(r"Join \[.*source1_entity_id", node) for node in nodes[:first])
