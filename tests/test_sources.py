@@ -151,3 +151,10 @@ def test_source_rows_of_another_width_fail(spark, tmp_path, row):
     path.write_text("\t".join(COLUMNS) + "\n" + "\t".join(["S1-2"] + [""] * 10) + "\n" + row + "\n")
     with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
         adapt_records(read_source(spark, path), "source1").select("entity_id", "name").collect()
+
+
+def test_only_entities_that_can_repeat_an_edge_are_compared(spark):
+    found = CandidateFile.read(spark, ["S1-1\tS2-1,S2-2", "S1-2\tS2-1,S2-1", "S1-3\tS2-3", "S1-3\tS2-4,S2-3", "S1-4\t"])
+    assert {r[0] for r in found.suspects().collect()} == {"S1-2", "S1-3"}
+    assert sorted((r.line_no, r.candidate_entity_id) for r in found.duplicate_edges().collect()) == [(2, "S2-1"), (4, "S2-3")]
+    assert CandidateFile.read(spark, ["S1-1\tS2-1,S2-2"]).duplicate_edges().count() == 0
