@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from pairwright.functions.checks import InputError
 from pairwright.operators import audits, joins, sampling
@@ -195,6 +196,14 @@ def test_batches_are_bounded(spark):
         batches(pairs, 0)
 
 
+def test_batches_take_the_number_of_pairs_alone(spark):
+    pairs = spark.range(10_001).select(F.col("id").alias("source1_row_index"), F.lit(0).alias("candidate_rank"), F.lit(None).cast("string").alias("source1_entity_id"))
+    rows = batches(pairs, 2).orderBy("batch").collect()
+    assert len(rows) == 5_001 and tuple(rows[-1]) == (5_000, 1, 10_000, 10_000) and all(tuple(r) == (k, 2, 2 * k, 2 * k + 1) for k, r in enumerate(rows[:-1]))
+    assert batches(pairs.limit(0), 2).count() == 0
+    assert "Window" not in batches(pairs, 2)._jdf.queryExecution().toString()
+
+
 def test_recall(spark):
     truth = spark.createDataFrame([("S1-001", "S2-001"), ("S1-001", "S2-999")], "source1_entity_id string, candidate_entity_id string")
     pairs = read_candidates(spark, CANDIDATES)
