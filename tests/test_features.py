@@ -3,12 +3,13 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pairwright.functions import postal, text
 from pairwright.functions.features import FEATURE_NAMES, feature_columns, record_features, with_vectors
-from pairwright.functions.tfidf import TfIdf
+from pairwright.functions.tfidf import TfIdf, dots, packed
 
 RECORD = "entity_id string, name string, address string, country string, postal_codes array<string>"
 STRASSE = ("Straße Textiles", "12 Gandhi Road", "India", ["AB-12"])
@@ -137,3 +138,13 @@ def test_empty_vocabulary_fails(spark):
 def test_exact_fold(spark):
     row = spark.createDataFrame([("ẞﬁ",)], "t string").select(text.exact_fold(F.col("t"))).first()
     assert row[0] == "ẞﬁ".casefold()
+
+
+def test_dots_equal_plain_sums():
+    rng = random.Random(3)
+    made = [[{"k": k, "w": rng.random()} for k in sorted(rng.sample(range(-40, 40), rng.randrange(30)))] for _ in range(20)]
+    vectors = packed(pa.array(made, pa.list_(pa.struct([("k", pa.int64()), ("w", pa.float64())])))).to_pylist()
+    rows = [(rng.randrange(20), rng.randrange(20)) for _ in range(300)]
+    a, b = (pa.array([None if n % m == 0 else vectors[r[side]] for n, r in enumerate(rows)], pa.binary()) for side, m in ((0, 7), (1, 11)))
+    want = [0.0 if n % 7 == 0 or n % 11 == 0 else sum(x["w"] * y["w"] for x in made[i] for y in made[j] if x["k"] == y["k"]) for n, (i, j) in enumerate(rows)]
+    assert dots(a, b).to_pylist() == pytest.approx(want) and dots(a[5:90], b[5:90]).to_pylist() == pytest.approx(want[5:90]) and len(dots(a[:0], b[:0])) == 0

@@ -6,7 +6,7 @@ import pytest
 from conftest import SMALL
 
 from pairwright.operators import audits, sampling
-from pairwright.plans import queries
+from pairwright.plans import queries, scoring, views
 
 
 def plan(df) -> list[tuple[int, str]]:
@@ -67,3 +67,19 @@ def test_the_first_lines_are_taken_before_their_records(spark):
     nodes = [node for _, node in plan(queries.QUERIES["average_line_bytes"](spark, SMALL))]
     first = max(i for i, node in enumerate(nodes) if node.startswith("TakeOrdered"))
     assert any(re.search(r"Join \[.*source1_entity_id", node) for node in nodes[:first])
+
+
+def test_scored_pairs_are_not_moved(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert moved(scoring.featurize(views.pairs(spark, SMALL), views.records(spark, SMALL))) == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_members_are_those_of_the_pairs(spark):
+    found = views.heads(spark, SMALL).filter("source1_row_index % 7 = 0")
+    pairs = views.expand(found, spark, SMALL)
+    want = {r[0] for r in pairs.select("source1_entity_id").union(pairs.select("candidate_entity_id")).distinct().collect()}
+    assert sorted(r.entity_id for r in views.members(found, spark, SMALL).collect()) == sorted(want)
