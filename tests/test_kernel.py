@@ -87,6 +87,20 @@ def test_labelled_pairs_are_not_joined_by_row(spark):
     assert rows.count() == 40
 
 
+def test_a_report_makes_scores_once(spark):
+    from pairwright.operators import metrics
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def scored(k):
+        made.add(1)
+        return k / 40
+
+    report = metrics.evaluate(spark.range(40).select((F.col("id") % 2).cast("int").alias("label"), scored("id").alias("probability")))
+    assert report["count"] == 40 and report["positives"] == 20 and made.value == 40
+
+
 def test_blank_is_what_strip_empties(spark):
     rows = spark.createDataFrame([(t,) for t in [*TEXTS, "\x1c　", "\n", "​", " .\n"]], "t string")
     assert all(r.a == r.b for r in rows.select(is_blank(F.col("t")).alias("a"), F.coalesce(strip(F.col("t")) == "", F.lit(True)).alias("b")).collect())
