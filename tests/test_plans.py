@@ -4,9 +4,11 @@ import re
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from pairwright.operators import audits, sampling
 from pairwright.plans import queries, scoring, views
+from pairwright.sources.lines import numbered_lines
 
 
 def plan(df) -> list[tuple[int, str]]:
@@ -83,3 +85,30 @@ def test_members_are_those_of_the_pairs(spark):
     pairs = views.expand(found, spark, SMALL)
     want = {r[0] for r in pairs.select("source1_entity_id").union(pairs.select("candidate_entity_id")).distinct().collect()}
     assert sorted(r.entity_id for r in views.members(found, spark, SMALL).collect()) == sorted(want)
+
+
+def test_scores_are_written_where_their_lists_lie(spark, tmp_path, monkeypatch):
+    """Lists are dealt in order, workers hold the packs: no pair moves, and lines are in order in packed files."""
+    monkeypatch.setattr(views, "SORTED_PAIRS_A_TASK", 20)
+    records = views.records(spark, SMALL)
+    assert scoring.stays(records)
+    scores = scoring.score(views.pairs(spark, SMALL, ordered=True), records, queries.DEMO)
+    assert moved(scores) == [] and scores.rdd.getNumPartitions() > 4
+    n = scoring.write_scores(scores, tmp_path / "out", dealt=True, packed=True)
+    assert n == scores.count() and list((tmp_path / "out").glob("*.txt.gz"))
+    got = [(r.s.source1_row_index, r.s.candidate_rank) for r in numbered_lines(spark, tmp_path / "out").select("line_no", F.from_json("value", "source1_row_index long, candidate_rank long").alias("s")).orderBy("line_no").collect()]
+    assert got == sorted(got) and len(set(got)) == n
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        scoring.write_scores(scores, tmp_path / "out", dealt=True)
+    assert list((tmp_path / "out").glob("*.txt.gz"))
+    with pytest.raises(Exception, match="Missing record join: S"):
+        scoring.write_scores(scoring.score(views.pairs(spark, SMALL, ordered=True), records.filter("entity_id NOT LIKE '%7'"), queries.DEMO), tmp_path / "failed", dealt=True)
+    assert not (tmp_path / "failed").exists()
+
+
+def test_packs_beyond_what_workers_hold_come_with_their_pairs(spark, monkeypatch):
+    pairs, records = views.pairs(spark, SMALL), views.records(spark, SMALL)
+    held = scoring.score(pairs, records, queries.DEMO)
+    monkeypatch.setattr(scoring, "MOST_PACKS", 1)
+    assert not scoring.stays(records)
+    assert sorted(held.collect()) == sorted(scoring.score(pairs, records, queries.DEMO).collect())
