@@ -272,3 +272,35 @@ def test_prefix_sums_of_many_blocks(spark):
     assert got == {b: sum(x % 7 for x in at[:i]) for i, b in enumerate(at)}
     before = {r.b: r.p for r in blocks.previous(sums, "b", F.col("v"), "p").collect()}
     assert before == {b: f"v{at[i - 1]}" if i else None for i, b in enumerate(at)}
+
+
+def test_a_dealt_batch_is_not_moved(spark):
+    """Pairs of a batch that lie by entity are scored where they lie, with the batches before in view, and doubles still fail."""
+    from pairwright.streaming.scoring import scored_batch
+
+    records = shop_records(spark)
+    table = lambda *rows: spark.createDataFrame([(s1, c, k, 0) for k, (s1, c) in enumerate(rows)], "source1_entity_id string, candidate_entity_id string, source1_row_index long, candidate_rank int")
+    batch = table(("S1-0", "S2-0"), ("S1-1", "S3-1"), ("S1-1", "S2-1")).repartition(3, "source1_entity_id").cache()
+    split = spark.createDataFrame([("S1-0", "train"), ("S1-1", "validation")], "source1_entity_id string, split string")
+    seen = table(("S1-1", "S3-0"), ("S1-2", "S2-0"))
+    scores = scored_batch(batch, records, DEMO, seen, split=split)
+    plan = [line.strip(" :+-") for line in scores._jdf.queryExecution().executedPlan().toString().splitlines()]
+    above = plan[: next(i for i, node in enumerate(plan) if node.startswith("InMemoryTableScan"))]
+    assert scores.count() == 3 and not any(node.startswith(("Exchange", "Sort")) for node in above)
+    with pytest.raises(ValueError, match="duplicate candidate pair S1-1::S2-1"):
+        scored_batch(batch, records, DEMO, table(("S1-1", "S2-1")), split=split)
+    for rows in ((("S1-0", "S2-0"), ("S1-1", "S3-1"), ("S1-0", "S2-0")), (("S1-0::S2-0", "S2-1"), ("S1-0", "S2-0::S2-1"))):
+        with pytest.raises(InputError, match="duplicate (edge S1-0, S2-0|pair_id S1-0::S2-0::S2-1)"):
+            scored_batch(table(*rows), records, DEMO, None, split=split)
+
+
+def test_a_batch_writes_a_file_a_bucket(spark, tmp_path):
+    from pairwright.streaming.scoring import score_stream
+
+    records, source = shop_records(spark), tmp_path / "in"
+    source.mkdir()
+    for n in range(3):
+        (source / f"{n}.json").write_text("".join(json.dumps({"source1_entity_id": "S1-0", "candidate_entity_id": f"S{s}-{n}", "source1_row_index": n, "candidate_rank": s}) + "\n" for s in (2, 3)))
+    score_stream(spark, str(source), records, DEMO, str(tmp_path / "out"), str(tmp_path / "ck"), files_a_batch=3).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).select("batch", "pair_id").count() == 6
+    assert len(list((tmp_path / "out-edges").rglob("*.parquet"))) == 1 and spark.read.parquet(str(tmp_path / "out-edges")).count() == 6

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pairwright.functions.checks import InputError
 from pairwright.operators import audits
 from pairwright.operators.candidates import enrich, validate
+from pairwright.sources import candidates
 from pairwright.sources.candidates import CandidateFile, read_candidates
 from pairwright.sources.jsonl import read_jsonl, read_pairs
 from pairwright.sources.records import IntegrityError, check_fingerprints, fingerprints, read_source
@@ -158,3 +159,14 @@ def test_only_entities_that_can_repeat_an_edge_are_compared(spark):
     assert {r[0] for r in found.suspects().collect()} == {"S1-2", "S1-3"}
     assert sorted((r.line_no, r.candidate_entity_id) for r in found.duplicate_edges().collect()) == [(2, "S2-1"), (4, "S2-3")]
     assert CandidateFile.read(spark, ["S1-1\tS2-1,S2-2"]).duplicate_edges().count() == 0
+
+
+def test_only_odd_lists_are_taken_apart(spark):
+    """Lists whose ids can't break a rule make no pairs to be checked; the others give the same violations as all pairs."""
+    good = "S2-1,S3-2:x"
+    odd = ["S2-1,,S3-2", ",S2-1", "S2-1,", "S2-1, S3-2", "S2-1 ", "S4-1", "S2-1,s3-2", "S2-,S3-1", "S3- ", "S2-é", ","]
+    found = CandidateFile.read(spark, [f"S1-{i}\t{c}" for i, c in enumerate([good, *odd, good])])
+    taken = {r.source1_entity_id for r in found.rows.filter(candidates.ODD).collect()}
+    assert taken == {f"S1-{i}" for i in range(1, len(odd) + 1)}
+    assert {(r.line_no, r.rule) for r in found.pair_violations().collect()} >= {(2, "empty_token"), (3, "empty_token"), (4, "empty_token"), (5, "token_space"), (7, "prefix"), (8, "prefix"), (9, "body"), (12, "empty_token")}
+    assert {r.line_no for r in found.pair_violations().collect()} == set(range(2, 13)) - {11}
