@@ -112,3 +112,19 @@ def test_packs_beyond_what_workers_hold_come_with_their_pairs(spark, monkeypatch
     monkeypatch.setattr(scoring, "MOST_PACKS", 1)
     assert not scoring.stays(records)
     assert sorted(held.collect()) == sorted(scoring.score(pairs, records, queries.DEMO).collect())
+
+
+def test_kept_pairs_are_not_moved_to_become_lines(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert moved(queries.QUERIES["prepared_lines"](spark, SMALL)) == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_labelled_lines_are_packed_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "shared_path", lambda _, label: str(tmp_path / label))
+    rows = queries.QUERIES["labelled_file"](spark, SMALL).count()
+    packed = list((tmp_path / "labelled").glob("*.txt.gz"))
+    assert rows and packed and not list((tmp_path / "labelled").glob("*.txt"))
