@@ -128,3 +128,23 @@ def test_labelled_lines_are_packed_files(spark, tmp_path, monkeypatch):
     rows = queries.QUERIES["labelled_file"](spark, SMALL).count()
     packed = list((tmp_path / "labelled").glob("*.txt.gz"))
     assert rows and packed and not list((tmp_path / "labelled").glob("*.txt"))
+
+
+def test_order_is_numbered_from_sizes_of_lists(spark):
+    """No window or sort of pairs: the only windows are over lists, below the join that makes pairs."""
+    from pairwright.operators import candidates
+
+    found = queries.QUERIES["candidate_order"](spark, SMALL)
+    nodes = plan(found)
+    first = next(i for i, (_, node) in enumerate(nodes) if re.search(r"Join \[_group", node))
+    assert not any(re.match("Window|Sort", node) for _, node in nodes[:first])
+    want = candidates.numbered(views.pairs(spark, SMALL)).select("pair_id", "seq")
+    assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+
+
+def test_lists_that_share_a_row_are_numbered_without_gaps(spark, tmp_path):
+    for table in ("customer", "supplier", "part"):
+        rows = spark.read.parquet(f"{SMALL}/{table}.parquet")
+        (rows.unionByName(rows.filter("c_custkey < 9")) if table == "customer" else rows).write.parquet(f"{tmp_path}/{table}.parquet")
+    seq = [r.seq for r in queries.QUERIES["candidate_order"](spark, str(tmp_path)).collect()]
+    assert sorted(seq) == list(range(len(seq)))
