@@ -148,3 +148,17 @@ def test_lists_that_share_a_row_are_numbered_without_gaps(spark, tmp_path):
         (rows.unionByName(rows.filter("c_custkey < 9")) if table == "customer" else rows).write.parquet(f"{tmp_path}/{table}.parquet")
     seq = [r.seq for r in queries.QUERIES["candidate_order"](spark, str(tmp_path)).collect()]
     assert sorted(seq) == list(range(len(seq)))
+
+
+def test_heads_of_files_are_not_counted_nor_shuffled(spark, tmp_path):
+    spark.range(0, 40, 1, 4).selectExpr("cast(id as string) AS pair_id").sortWithinPartitions(F.col("pair_id").cast("int")).write.csv(str(tmp_path / "t"), header=True)
+    found = numbered_lines(spark, tmp_path / "t", F.col("value") == "pair_id")
+    assert not any(node.startswith("Window") for _, node in plan(found))
+    assert [(r.filled_no, r.value) for r in found.filter("value <> 'pair_id'").orderBy("line_no").collect()] == [(i, str(i)) for i in range(40)]
+
+
+def test_table_of_scores_is_written_where_its_lists_lie(spark):
+    found = queries.QUERIES["score_table_file"](spark, SMALL)
+    assert not any(node.startswith("Window") for _, node in plan(found))
+    want = queries.QUERIES["score_pairs"](spark, SMALL).orderBy("source1_row_index", "candidate_rank").collect()
+    assert [r.line.split("\t")[0] for r in found.orderBy("place").collect()] == [r.pair_id for r in want]
