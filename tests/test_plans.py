@@ -162,3 +162,13 @@ def test_table_of_scores_is_written_where_its_lists_lie(spark):
     assert not any(node.startswith("Window") for _, node in plan(found))
     want = queries.QUERIES["score_pairs"](spark, SMALL).orderBy("source1_row_index", "candidate_rank").collect()
     assert [r.line.split("\t")[0] for r in found.orderBy("place").collect()] == [r.pair_id for r in want]
+
+
+def test_inference_lines_are_made_in_order(spark, monkeypatch):
+    asked = []
+    kept = queries._written
+    monkeypatch.setattr(queries, "_written", lambda spark, label, lines, *a, **b: asked.append((moved(lines), b.get("dealt"))) or kept(spark, label, lines, *a, **b))
+    path = queries._inference_file(spark, SMALL)
+    assert asked == [([], True)]
+    want = [r.pair_id for r in views.pairs(spark, SMALL).orderBy("row_index").collect()]
+    assert [r.p for r in numbered_lines(spark, path).orderBy("line_no").select(F.get_json_object("value", "$.pair_id").alias("p")).collect()] == want
