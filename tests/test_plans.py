@@ -172,3 +172,31 @@ def test_inference_lines_are_made_in_order(spark, monkeypatch):
     assert asked == [([], True)]
     want = [r.pair_id for r in views.pairs(spark, SMALL).orderBy("row_index").collect()]
     assert [r.p for r in numbered_lines(spark, path).orderBy("line_no").select(F.get_json_object("value", "$.pair_id").alias("p")).collect()] == want
+
+
+def test_rows_are_read_once_for_checks_and_scores(spark, monkeypatch, tmp_path):
+    """A broken row fails by the stored table, and pairs that workers can hold the packs of aren't moved to them."""
+    from pairwright.functions.checks import InputError
+    from pairwright.functions.tfidf import TfIdf
+    from pairwright.plans import mapping, training
+    from pairwright.sources.jsonl import read_jsonl
+
+    def row(i, name="Acme"):
+        one = {"name": name, "address": f"{i} Main", "postal_code": None, "country": "India", "postal_codes": None}
+        return {"pair_id": f"p{i}", "source1_id": f"s{i}", "target_id": f"t{i}", "target_source": "S2", "source1": one, "target": one}
+
+    import json
+
+    texts = spark.createDataFrame([("Acme", "1 Main")], "name string, address string")
+    model = training.PairModel(TfIdf.fit(texts, "name"), TfIdf.fit(texts, "address"), queries.DEMO)
+    lines = [json.dumps(row(i)) for i in range(5)]
+    scores = mapping.score_rows(read_jsonl(spark, lines), mapping.default_mapping(), model, str(tmp_path / "kept"))
+    plain = mapping.score_rows(read_jsonl(spark, lines), mapping.default_mapping(), model)
+    assert sorted(map(tuple, scores.collect())) == sorted(map(tuple, plain.collect())) and scores.count() == 5
+    assert not any("variant" in node for _, node in plan(scores))
+    assert not any(node.startswith("Exchange") for _, node in plan(scores) if "hashpartitioning(_left" in node or "hashpartitioning(_right" in node)
+    with pytest.raises(InputError, match="Candidate row 1: "):
+        mapping.score_rows(read_jsonl(spark, [lines[0], json.dumps(row(1) | {"target_source": "S9"}), json.dumps(row(2, 7))]), mapping.default_mapping(), model, str(tmp_path / "bad"))
+    with pytest.raises(InputError, match="line 2: expected a JSON object"):
+        mapping.predict_file(spark, [json.dumps({"pair_id": "p"}), " [1]"], mapping.default_mapping(), model, str(tmp_path / "none"))
+    assert mapping.predict_file(spark, [lines[0], "", "\t" + lines[1]], mapping.default_mapping(), model, str(tmp_path / "some")) == 2
